@@ -21,7 +21,7 @@ def top_products(sales: DataFrame, k: int = 5) -> DataFrame:
         "product_orders",
     ).filter(F.col("region").isNotNull())
     totals = products.groupBy("region").agg(F.sum("product_revenue").alias("total_revenue"))
-    best = top_k_per_group(products, ["region"], "product_revenue", k, "product_rank")
+    best = top_k_per_group(products, ["region"], "product_revenue", k, "product_rank", precompute=False)
     share = F.try_divide(F.col("product_revenue"), F.col("total_revenue")) * 100
     return (
         best.join(totals, "region")
