@@ -13,15 +13,14 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or a temporary one on a local master only."""
+    """Folder all executors can reach: the session's checkpoint folder, or a temporary one on a local master only."""
     context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"Set {_SETTING} to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="tableops-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set(_SETTING, folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
