@@ -60,6 +60,12 @@ _MARGIN = (
 )
 
 
+def _mean(total: str, count: str) -> str:
+    """Mean of money in decimal arithmetic, half up to 6 places and then to 2; a mean of doubles may miss a tie."""
+    cents = f"CAST({total} * 100 AS HUGEINT)"
+    return f"CAST(((2 * {cents} * 10000 + {count}) // (2 * {count}) + 5000) // 10000 AS DOUBLE) / 100"
+
+
 def _with_raw(select: str) -> str:
     return f"WITH {_RAW}\n{select}"
 
@@ -128,9 +134,9 @@ _MONTHLY = """monthly AS (
 _ROLLING = f"""WITH {_SALES},
 {_MONTHLY}
 SELECT region, order_year, order_month, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue,
-       round(avg(monthly_revenue) OVER (PARTITION BY region ORDER BY order_year, order_month
-             ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS rolling_3m_avg_revenue
-FROM monthly"""
+       {_mean('sum(monthly_revenue) OVER w', 'count(*) OVER w')} AS rolling_3m_avg_revenue
+FROM monthly
+WINDOW w AS (PARTITION BY region ORDER BY order_year, order_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
 
 _TRANSFORMED = f"""WITH {_RAW},
 priced AS (
@@ -256,17 +262,17 @@ FROM sales GROUP BY region, payment_method"""),
         + " FROM sales"
     ),
     "stats_skip_missing": _with_sales(f"SELECT {_summary('quantity', False)} FROM sales"),
-    "sales_summary": _with_sales("""
+    "sales_summary": _with_sales(f"""
 SELECT region, product, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(order_id) AS total_orders,
-       round(avg(revenue), 2) AS avg_order_value, CAST(max(revenue) AS DOUBLE) AS max_revenue,
+       {_mean('sum(revenue)', 'count(*)')} AS avg_order_value, CAST(max(revenue) AS DOUBLE) AS max_revenue,
        count(DISTINCT customer_id) AS unique_customers
 FROM sales GROUP BY region, product"""),
     "agg_count_distinct": _with_sales(
         "SELECT region, product, count(DISTINCT customer_id) AS unique_customers FROM sales GROUP BY region, product"
     ),
-    "group_monthly_region": _with_sales("""
+    "group_monthly_region": _with_sales(f"""
 SELECT region, order_year, order_month, CAST(sum(revenue) AS DOUBLE) AS sum_revenue,
-       round(avg(revenue), 2) AS avg_revenue, CAST(max(revenue) AS DOUBLE) AS max_revenue,
+       {_mean('sum(revenue)', 'count(*)')} AS avg_revenue, CAST(max(revenue) AS DOUBLE) AS max_revenue,
        CAST(sum(quantity) AS BIGINT) AS sum_quantity, count(order_id) AS count_order_id
 FROM sales GROUP BY region, order_year, order_month"""),
     "win_row_number": _window(_WINDOWS, "row_num"),
@@ -329,9 +335,9 @@ FROM (
   GROUP BY s.region, s.product, t.total_revenue
 )
 WHERE product_rank <= 5"""),
-    "report_high_value_customers": _with_sales("""
+    "report_high_value_customers": _with_sales(f"""
 SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS total_spend, count(order_id) AS num_orders,
-       round((SELECT avg(revenue) FROM sales), 2) AS avg_order_overall
+       (SELECT {_mean('sum(revenue)', 'count(*)')} FROM sales) AS avg_order_overall
 FROM sales GROUP BY customer_id HAVING sum(revenue) > (SELECT avg(revenue) FROM sales)"""),
     "scalar_subquery": """
 SELECT o_orderkey, o_totalprice FROM orders
