@@ -261,6 +261,9 @@ FROM sales GROUP BY region, payment_method"""),
         )
         + " FROM sales"
     ),
+    "stats_percentiles_bound": "SELECT count(l_extendedprice) AS n, "
+    + ", ".join(f"1 AS p{p}_price_within" for p in (10, 25, 50, 75, 95))
+    + " FROM lineitem",
     "stats_skip_missing": _with_sales(f"SELECT {_summary('quantity', False)} FROM sales"),
     "sales_summary": _with_sales(f"""
 SELECT region, product, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(order_id) AS total_orders,

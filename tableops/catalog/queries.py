@@ -303,6 +303,27 @@ def q_stats_percentiles(spark, sf_dir):
     return _doubles(df.select(*[f"p{p}_{c}" for c in ("revenue", "quantity") for p in (25, 50, 75, 95)]))
 
 
+def q_stats_percentiles_bound(spark, sf_dir):
+    """Whether each percentile at the default accuracy has a rank within the promised error, for any table size."""
+    prices = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"))
+    shares = [0.1, 0.25, 0.5, 0.75, 0.95]
+    found = aggregates.stats_summary(prices, ["price"], shares)
+    names = [f"p{round(share * 100)}_price" for share in shares]
+    ranks = prices.agg(
+        F.count("price").alias("n"),
+        *[F.count_if(F.col("price") < found.select(name).scalar()).alias(f"below_{name}") for name in names],
+        *[F.count_if(F.col("price") <= found.select(name).scalar()).alias(f"upto_{name}") for name in names],
+    )
+    slack = F.col("n") / 10_000 + 1
+    checks = [
+        ((F.col(f"below_{name}") <= F.col("n") * share + slack) & (F.col(f"upto_{name}") >= F.col("n") * share - slack))
+        .cast("int")
+        .alias(f"{name}_within")
+        for share, name in zip(shares, names)
+    ]
+    return ranks.select("n", *checks)
+
+
 def q_stats_skip_missing(spark, sf_dir):
     return aggregates.stats_summary(sales(spark, sf_dir), ["no_such_column", "quantity"])
 
@@ -614,6 +635,7 @@ QUERIES: dict[str, Query] = {
     "agg_stddev": _one_mean("stddev"),
     "stats_summary": q_stats_summary,
     "stats_percentiles": q_stats_percentiles,
+    "stats_percentiles_bound": q_stats_percentiles_bound,
     "stats_skip_missing": q_stats_skip_missing,
     "sales_summary": q_sales_summary,
     "agg_count_distinct": q_agg_count_distinct,

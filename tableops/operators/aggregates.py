@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from tableops.functions import metric
 
 
+MAX_SKETCH_TASKS = 4096
+
+
 def group_aggregate(df: DataFrame, by: Sequence[str], metrics: Mapping[str, Sequence[str]]) -> DataFrame:
     """Group by ``by``; ``{"revenue": ["sum", "avg"]}`` gives ``sum_revenue`` and ``avg_revenue``."""
     columns = [metric(name, column) for column, names in metrics.items() for name in names]
@@ -28,7 +31,9 @@ def stats_summary(
     """One row with mean, stddev, min, max and optional approximate percentiles of each column, in one pass.
 
     Columns the table lacks are skipped; if none is left the result has no rows. All percentiles of a column share
-    one sketch, whose relative rank error is ``1 / accuracy`` and whose size does not grow with the table.
+    one sketch, whose relative rank error is ``1 / accuracy`` and whose size grows with ``accuracy``, not with the
+    table. One task merges the sketches of all others, so with percentiles the input is read by at most
+    ``MAX_SKETCH_TASKS`` tasks, each of which takes several file splits; this needs no shuffle.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
@@ -47,6 +52,8 @@ def stats_summary(
             sketch = f"__percentiles_{c}"
             measures.append(F.percentile_approx(c, shares, accuracy).alias(sketch))
             output += [F.col(sketch)[i].alias(f"p{_percent(p)}_{c}") for i, p in enumerate(shares)]
+    if shares:
+        df = df.select(*[f"`{c}`" for c in present]).coalesce(MAX_SKETCH_TASKS)
     return df.agg(*measures).select(*output)
 
 
