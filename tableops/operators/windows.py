@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableops.scratch import shared_folder
+from tableops.scratch import stored
 
 ROWS_PER_TASK = 10_000_000
 MAX_CHUNKS = 50_000
@@ -66,8 +66,8 @@ def window_columns(
     are longs: a group may have more rows than an int can count when it is split.
 
     ``split`` picks the plan. By default one aggregate over the group columns finds the largest group, and the split
-    plan is used when it has more than ``rows_per_task`` rows. The split plan runs a job when called: it checkpoints
-    the range-partitioned rows in ``spark.checkpoint.dir``.
+    plan is used when it has more than ``rows_per_task`` rows. The split plan runs a job when called: it writes the
+    range-partitioned rows to a table in ``spark.checkpoint.dir``.
     """
     group = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     if lag < 1 or lead < 1:
@@ -121,17 +121,16 @@ def _output(df: DataFrame, spec: _Spec) -> list[str]:
 
 
 def _split(df: DataFrame, spec: _Spec, chunks: int) -> DataFrame:
-    shared_folder(df.sparkSession)
     # Rows equal in every sort column still part by the input partition they come from. That number is the same when
-    # a lost task runs again, unlike a random one, so each row keeps its place. The checkpoint then fixes the chunks:
+    # a lost task runs again, unlike a random one, so each row keeps its place. Writing the rows then fixes the chunks:
     # two range shuffles of one plan may sample different borders.
-    rows = (
+    chunked = (
         df.withColumn(_SOURCE, F.spark_partition_id())
         .repartitionByRange(chunks, *spec.group, *spec.ranked(), _SOURCE)
         .withColumn(_CHUNK, F.spark_partition_id())
         .drop(_SOURCE)
-        .checkpoint()
     )
+    rows = stored(chunked, "window_chunks")
     # A struct groups and joins null keys like any other value.
     rows = rows.withColumn(_GROUP, F.struct(*spec.group))
     keys = [_GROUP, _CHUNK]
