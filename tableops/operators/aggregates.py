@@ -66,7 +66,7 @@ def sales_summary(df: DataFrame, by: Sequence[str] = ("region", "product")) -> D
     """Revenue, orders and distinct customers per region and product, largest total first."""
     missing = sorted({*by, "revenue", "order_id", "customer_id"} - set(df.columns))
     if missing:
-        raise ValueError(f"sales_summary requires columns: {missing}")
+        raise ValueError(f"sales_summary lacks columns: {missing}")
     summary = df.groupBy(*by).agg(
         F.round(F.sum("revenue"), 2).alias("total_revenue"),
         F.count("order_id").alias("total_orders"),

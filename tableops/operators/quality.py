@@ -46,10 +46,9 @@ def validate(
     else:
         profile, total = [], df.count()
     if total < min_rows:
-        raise ValueError(f"DataFrame has {total} rows, minimum required: {min_rows}")
+        raise ValueError(f"Too few rows: {total}, minimum required is {min_rows}")
     for row in profile:
         if row["null_ratio"] > null_threshold:
-            raise ValueError(
-                f"Column '{row['column']}' has {row['null_ratio']:.1%} nulls, threshold: {null_threshold:.1%}"
-            )
+            share, limit = f"{row['null_ratio']:.1%}", f"{null_threshold:.1%}"
+            raise ValueError(f"Too many nulls in '{row['column']}': {share} nulls, at most {limit} allowed")
     return df

@@ -23,6 +23,7 @@ from tableops.operators.windows import ROWS_PER_TASK, window_columns
 from tableops.plans.reports import high_value_customers, rolling_revenue, top_products
 from tableops.sinks import read_back, write_parquet
 
+# Required columns, target types, fill values, text columns, output directories and percentiles.
 REQUIRED = ("order_id", "order_date", "region", "customer_id", "product", "quantity", "unit_price")
 CASTS = {"quantity": "int", "unit_price": "double", "discount": "double"}
 FILLS = {"discount": 0.0, "region": "UNKNOWN"}
@@ -104,5 +105,5 @@ def run_sales_pipeline(
         written[name] = write_parquet(df, f"{out_dir}/{name}")
 
     if sales.count() != written["transformed"]:
-        raise ValueError("Row count mismatch between the transformed table and its files")
+        raise ValueError("The files of the transformed table do not hold the rows that were written")
     return written

@@ -65,7 +65,7 @@ def read_back(
     if expected_rows is not None:
         actual = df.count()
         if actual != expected_rows:
-            raise ValueError(f"Row count mismatch, expected: {expected_rows}, actual: {actual}")
+            raise ValueError(f"Expected {expected_rows} rows in {path}, found {actual}")
     return df
 
 

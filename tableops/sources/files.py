@@ -104,7 +104,7 @@ def scan(
     """Read ``csv``, ``json``, ``parquet`` or ``orc`` by name, in any case, with that reader's keyword arguments."""
     name = file_format.lower()
     if name not in _FORMATS:
-        raise ValueError(f"Unsupported format '{file_format}'. Choose from: {', '.join(_FORMATS)}")
+        raise ValueError(f"No reader for format '{file_format}', only for {', '.join(_FORMATS)}")
     if name == "csv":
         return scan_csv(spark, path, schema, **options)
     if name == "json":

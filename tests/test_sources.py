@@ -120,7 +120,7 @@ class TestFiles:
         assert scan(spark, text_file("a\n1\n")).columns == ["a"]
 
     def test_unknown_format(self, spark):
-        with pytest.raises(ValueError, match="Unsupported format"):
+        with pytest.raises(ValueError, match="No reader for format"):
             scan(spark, "/nowhere", "avro")
 
 
