@@ -97,6 +97,20 @@ def test_column_names_of_the_table_do_not_matter(spark):
         window_columns(df.withColumn("rank", F.lit(1)), "rows", "continues", "position")
 
 
+def test_order_column_as_value(spark):
+    """Not-a-number is the largest order value, and minus zero equals zero."""
+    numbers = [float("nan"), float("nan"), 2.5, 0.0, -0.0, -1.0, None]
+    rows = [(i, numbers[i % 7]) for i in range(70)]
+    df = spark.createDataFrame(rows, "id int, x double").withColumn("g", F.lit(None).cast("string"))
+    columns = ["id", "row_num", "rank", "dense_rank"]
+    plain, split = (
+        {tuple(r) for r in window_columns(df, "g", "x", "x", tie_break=["id"], split=s, rows_per_task=8).select(*columns).collect()}
+        for s in (False, True)
+    )
+    assert plain == split
+    assert {r[2:] for r in split} == {(1, 1), (21, 2), (31, 3), (51, 4), (61, 5)}
+
+
 def test_offsets_must_be_positive(spark):
     with pytest.raises(ValueError, match="at least 1"):
         window_columns(spark.range(3), "id", "id", "id", lag=0)
