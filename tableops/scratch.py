@@ -40,3 +40,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Tables:
+    """Intermediate tables of one operator, in a database of their own inside the shared folder.
+
+    A context manager: on exit all tables go but those that were put with ``keep=True``, which a lazy result reads.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.database = f"tableops_{uuid.uuid4().hex}"
+        self._made: dict[str, bool] = {}
+        folder = shared_folder(spark).rstrip("/").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{folder}/{self.database}'")
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.drop(*[name for name, keep in self._made.items() if not keep])
+        if not self._made:
+            self.spark.sql(f"DROP DATABASE {self.database}")
+
+    def put(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        """The rows written as a table and read from it: later uses do not compute them again."""
+        name = f"{name}_{len(self._made)}" if name in self._made else name
+        df.write.format("parquet").saveAsTable(f"{self.database}.{name}")
+        self._made[name] = keep
+        return self.spark.table(f"{self.database}.{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")
+            self._made.pop(name, None)
