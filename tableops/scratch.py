@@ -52,6 +52,7 @@ class Tables:
         self.spark = spark
         self.database = f"tableops_{uuid.uuid4().hex}"
         self._made: dict[str, bool] = {}
+        self._count = 0
         folder = shared_folder(spark).rstrip("/").replace("'", "\\'")
         spark.sql(f"CREATE DATABASE {self.database} LOCATION '{folder}/{self.database}'")
 
@@ -65,7 +66,8 @@ class Tables:
 
     def put(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         """The rows written as a table and read from it: later uses do not compute them again."""
-        name = f"{name}_{len(self._made)}" if name in self._made else name
+        self._count += 1
+        name = f"{name}_{self._count}"
         df.write.format("parquet").saveAsTable(f"{self.database}.{name}")
         self._made[name] = keep
         return self.spark.table(f"{self.database}.{name}")

@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_oracle import compare, connect
+from tableops.catalog.oracle import ORACLE_SQL
+from tableops.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,12 +16,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert compare(spark, duck, SF_DIR, name, queries()[name], oracle_sql()[name]) is None
+    assert compare(spark, duck, SF_DIR, name, QUERIES[name], ORACLE_SQL[name]) is None
 
 
 def test_entry(spark):
