@@ -64,11 +64,21 @@ class Tables:
         if not self._made:
             self.spark.sql(f"DROP DATABASE {self.database}")
 
-    def put(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-        """The rows written as a table and read from it: later uses do not compute them again."""
+    def put(self, df: DataFrame, name: str, keep: bool = False, sort: list[str] | None = None, by: str | None = None) -> DataFrame:
+        """The rows written as a table and read from it: later uses do not compute them again.
+
+        ``sort`` makes hash buckets of these columns, sorted by them, as many as there are shuffle partitions, so joins on
+        them need no shuffle of this side. ``by`` makes one directory per value.
+        """
         self._count += 1
         name = f"{name}_{self._count}"
-        df.write.format("parquet").saveAsTable(f"{self.database}.{name}")
+        if sort:
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            writer = df.repartition(buckets, *sort).write.bucketBy(buckets, *sort).sortBy(*sort)
+        else:
+            writer = df.write
+        writer = writer.partitionBy(by) if by else writer
+        writer.format("parquet").saveAsTable(f"{self.database}.{name}")
         self._made[name] = keep
         return self.spark.table(f"{self.database}.{name}")
 
