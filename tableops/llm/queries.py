@@ -2,18 +2,74 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableops.llm.common import documents
+from tableops.llm.common import documents, outer_id
+from tableops.llm.exact_dedup import exact_duplicates
+from tableops.llm.line_dedup import deduplicate_lines
 from tableops.llm.ngram_join import jaccard_components
+from tableops.llm.piece_bpe import encode_documents
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        outer_id("doc_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("id_text", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=4, percent=85)
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate_lines(documents(spark, sf_dir), min_chars=10)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_exact_dedup": r"""
+        WITH digests AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, text_sha256
+        FROM digests WINDOW same AS (PARTITION BY text_sha256)
+    """,
+    "op6_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+            FROM documents
+        ), keyed AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM lines
+        ), holders AS (
+            SELECT key, min(doc_id) AS holder FROM keyed WHERE length(key) >= 10 GROUP BY key
+        ), marked AS (
+            SELECT keyed.*, coalesce(holder, doc_id) = doc_id AS stays FROM keyed LEFT JOIN holders USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
+}
