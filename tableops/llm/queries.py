@@ -10,6 +10,7 @@ from tableops.llm.common import documents, outer_id
 from tableops.llm.exact_dedup import exact_duplicates
 from tableops.llm.line_dedup import deduplicate_lines
 from tableops.llm.ngram_join import jaccard_components
+from tableops.llm.packing import pack_documents
 from tableops.llm.piece_bpe import encode_documents
 
 
@@ -23,6 +24,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, limit=2048)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=4, percent=85)
 
@@ -39,6 +44,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_packing": op3_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
