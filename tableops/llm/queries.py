@@ -12,6 +12,7 @@ from tableops.llm.line_dedup import deduplicate_lines
 from tableops.llm.ngram_join import jaccard_components
 from tableops.llm.packing import pack_documents
 from tableops.llm.piece_bpe import encode_documents
+from tableops.llm.simhash import compare_edited
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,12 +43,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_packing": op3_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL = {
