@@ -24,3 +24,22 @@ def outer_id(column: str) -> Column:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns that matter, so that no other column's name can clash; null text is empty."""
     return docs.select(inner_id().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """df, a stored table of a few numbers a row, with a broadcast hint if it has BROADCAST_ROWS rows at most; counts them."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def site_host(address: Column) -> Column:
+    """Host of an address, or the whole of a plain source name; empty for null."""
+    bare = F.regexp_replace(F.lower(F.coalesce(address.cast("string"), F.lit(""))), "^[a-z][a-z0-9+.-]*://", "")
+    return F.regexp_replace(F.regexp_replace(bare, "[/?#].*$", ""), "^.*@|:[0-9]*$", "")
+
+
+def site_suffix(host: Column) -> Column:
+    """Last label of a dotted host; empty for plain names."""
+    return F.regexp_extract(host, "\\.([^.]+)$", 1)

@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 
 from tableops.llm.common import documents, outer_id
 from tableops.llm.exact_dedup import exact_duplicates
+from tableops.llm.language_id import identify_languages
 from tableops.llm.line_dedup import deduplicate_lines
 from tableops.llm.ngram_join import jaccard_components
 from tableops.llm.packing import pack_documents
 from tableops.llm.piece_bpe import encode_documents
+from tableops.llm.quality import classify_quality
 from tableops.llm.simhash import compare_edited
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify_quality(documents(spark, sf_dir), labels).drop("row_key")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select(
@@ -43,16 +50,22 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(documents(spark, sf_dir)).drop("row_key")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_packing": op3_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_language_id": op7_language_id,
     "op9_simhash": op9_simhash,
 }
 
