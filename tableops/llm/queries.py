@@ -15,6 +15,7 @@ from tableops.llm.packing import pack_documents
 from tableops.llm.piece_bpe import encode_documents
 from tableops.llm.quality import classify_quality
 from tableops.llm.simhash import compare_edited
+from tableops.llm.suffix_dedup import find_repeats
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +55,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(documents(spark, sf_dir)).drop("row_key")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeats(documents(spark, sf_dir), min_words=50)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(documents(spark, sf_dir))
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_language_id": op7_language_id,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash": op9_simhash,
 }
 
