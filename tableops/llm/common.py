@@ -43,3 +43,9 @@ def site_host(address: Column) -> Column:
 def site_suffix(host: Column) -> Column:
     """Last label of a dotted host; empty for plain names."""
     return F.regexp_extract(host, "\\.([^.]+)$", 1)
+
+
+def with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """docs with another text; n_chars, where there is one, follows it."""
+    docs = docs.withColumn("text", text)
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs

@@ -125,9 +125,9 @@ def _fuse(
     return run
 
 
-def row_key(*columns: str | Column) -> Column:
+def row_key(declared: str, address: str) -> Column:
     """Hash that tells apart rows that share an id."""
-    return F.xxhash64(*columns)
+    return F.xxhash64(inner_id(), F.coalesce("text", F.lit("")), F.col(declared).cast("string"), F.col(address).cast("string"))
 
 
 def identify_languages(
@@ -145,7 +145,7 @@ def identify_languages(
     host = site_host(F.col(address))
     docs = docs.select(
         inner_id().alias("doc_id"),
-        row_key(inner_id(), text, F.col(declared).cast("string"), F.col(address).cast("string")).alias("row_key"),
+        row_key(declared, address).alias("row_key"),
         text.alias("text"),
         said.alias("declared"),
         host.alias("host"),
@@ -172,3 +172,13 @@ def identify_languages(
         "doc_id long, row_key long, language string, posterior double, kept boolean",
     )
     return judged.withColumn("doc_id", outer_id("doc_id"))
+
+
+def keep_identified(docs: DataFrame, declared: str = "lang", address: str = "source", **options: float) -> DataFrame:
+    """The rows of docs, with all their columns, that identify_languages does not reject."""
+    judged = identify_languages(docs, declared, address, **options)
+    with Tables(docs.sparkSession) as tables:
+        rejected = judged.where("NOT kept").select(F.col("row_key").alias("__row_key")).distinct()
+        rejected = broadcast_if_small(tables.put(rejected, "rejected", keep=True))
+    marked = docs.withColumn("__row_key", row_key(declared, address))
+    return marked.join(rejected, "__row_key", "left_anti").select(*docs.columns)

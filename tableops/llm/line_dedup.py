@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableops.llm.common import id_and_text, outer_id
+from tableops.llm.common import id_and_text, inner_id, outer_id, with_text
 from tableops.scratch import Tables
 
 # The white space that is stripped and the letters that are lower-cased.
@@ -73,6 +73,39 @@ class LineRuns:
             self._push(self.tables.put(merged, "run", sort=HASH), level + 1)
 
 
+def _dropped_lines(docs: DataFrame, tables: Tables, min_chars: int, batches: int, fanout: int) -> DataFrame:
+    """(doc_id, version, dropped): positions of the lines to drop; docs is id_and_text(...). A stored table."""
+    cuts = sorted(set(docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
+    batch = F.lit(0)
+    for cut in cuts:  # approxQuantile gives doubles: compare as such
+        batch = batch + (F.col("doc_id").cast("double") > F.lit(cut)).cast("int")
+    lines = tables.put(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", by="batch")
+    runs, repeated = LineRuns(tables, fanout), []
+    for i in range(len(cuts) + 1):
+        repeats = runs.add(lines.where(F.col("batch") == i).drop("batch"))
+        repeated.append(tables.put(repeats.select("doc_id", "version", "pos"), "repeated"))
+    dropped = repeated[0]
+    for more in repeated[1:]:
+        dropped = dropped.unionByName(more)
+    dropped = dropped.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("dropped"))
+    return tables.put(dropped, "dropped", keep=True)
+
+
+def _cut(text: str, dropped: str) -> Column:
+    """(n_lines, n_left, kept) of a text without the lines at the dropped positions; all lines stay where these are null."""
+
+    def keep(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
+        kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+        return F.struct(F.size(lines).cast("long").alias("n_lines"), F.size(left).cast("long").alias("n_left"), kept.alias("kept"))
+
+    # Lines are bound once as an argument of the outer function, not split again for each position.
+    cut = F.get(F.transform(F.array(F.split(text, "\n")), keep), F.lit(0))
+    n_lines = (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    whole = F.struct(n_lines.alias("n_lines"), n_lines.alias("n_left"), F.col(text).alias("kept"))
+    return F.when(F.col(dropped).isNull(), whole).otherwise(cut)
+
+
 def deduplicate_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """(doc_id, version, text, n_lines, n_dropped, kept_text) of every row of docs (doc_id, text); runs jobs.
 
@@ -84,40 +117,24 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fa
     """
     docs = id_and_text(docs)
     with Tables(docs.sparkSession) as tables:
-        cuts = sorted(set(docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
-        batch = F.lit(0)
-        for cut in cuts:  # approxQuantile gives doubles: compare as such
-            batch = batch + (F.col("doc_id").cast("double") > F.lit(cut)).cast("int")
-        lines = tables.put(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", by="batch")
-        runs, repeated = LineRuns(tables, fanout), []
-        for i in range(len(cuts) + 1):
-            repeats = runs.add(lines.where(F.col("batch") == i).drop("batch"))
-            repeated.append(tables.put(repeats.select("doc_id", "version", "pos"), "repeated"))
-        dropped = repeated[0]
-        for more in repeated[1:]:
-            dropped = dropped.unionByName(more)
-        dropped = dropped.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("dropped"))
-        dropped = tables.put(dropped, "dropped", keep=True)
-    with_drops = docs.withColumn("version", F.xxhash64("text")).join(dropped, ["doc_id", "version"], "left")
-
-    def keep(lines: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped")
-        kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-        return F.struct(F.size(lines).cast("long").alias("n_lines"), F.size(left).cast("long").alias("n_left"), kept.alias("kept"))
-
-    # Lines are bound once as an argument of the outer function, not split again for each position.
-    cut = F.get(F.transform(F.array(F.split("text", "\n")), keep), F.lit(0))
-    whole = F.struct(
-        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
-        F.lit(None).cast("long").alias("n_left"),
-        F.col("text").alias("kept"),
-    )
-    result = with_drops.withColumn("cut", F.when(F.col("dropped").isNull(), whole).otherwise(cut))
-    return result.select(
+        dropped = _dropped_lines(docs, tables, min_chars, batches, fanout)
+    rows = docs.withColumn("version", F.xxhash64("text")).join(dropped, ["doc_id", "version"], "left")
+    return rows.withColumn("cut", _cut("text", "dropped")).select(
         outer_id("doc_id").alias("doc_id"),
         "version",
         "text",
         "cut.n_lines",
-        (F.col("cut.n_lines") - F.coalesce("cut.n_left", "cut.n_lines")).alias("n_dropped"),
+        (F.col("cut.n_lines") - F.col("cut.n_left")).alias("n_dropped"),
         F.col("cut.kept").alias("kept_text"),
     )
+
+
+def drop_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
+    """docs with all their columns and the text that deduplicate_lines keeps; null text stays null."""
+    with Tables(docs.sparkSession) as tables:
+        dropped = _dropped_lines(id_and_text(docs), tables, min_chars, batches, fanout)
+    dropped = dropped.select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("dropped").alias("__dropped"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.withColumns({"__id": inner_id(), "__version": F.xxhash64(text)}).join(dropped, ["__id", "__version"], "left")
+    kept = F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(_cut("text", "__dropped")["kept"])
+    return with_text(rows, kept).select(*docs.columns)

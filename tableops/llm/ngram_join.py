@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableops.llm import sketch
-from tableops.llm.common import NO_ID, id_and_text, outer_id
+from tableops.llm.common import NO_ID, broadcast_if_small, id_and_text, inner_id, outer_id
 from tableops.llm.components import connected_components
 from tableops.llm.words import batch_words, mix, signed, text_grams
 from tableops.scratch import Tables
@@ -152,3 +152,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         F.col("n").alias("n_shingles"),
         F.nullif(F.coalesce("component", "doc_id"), F.lit(NO_ID)).alias("component_id"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id is the smallest of its component in jaccard_components."""
+    found = jaccard_components(docs, k, percent)
+    with Tables(docs.sparkSession) as tables:
+        others = found.where("NOT doc_id <=> component_id").select(inner_id().alias("__id")).distinct()
+        others = broadcast_if_small(tables.put(others, "others", keep=True))
+    return docs.withColumn("__id", inner_id()).join(others, "__id", "left_anti").select(*docs.columns)

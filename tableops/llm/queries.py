@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableops.llm.chaining import fuzzy_passages
 from tableops.llm.common import documents, outer_id
 from tableops.llm.exact_dedup import exact_duplicates
 from tableops.llm.language_id import identify_languages
@@ -63,6 +64,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages(documents(spark, sf_dir), min_words=50, percent=80)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
@@ -73,6 +78,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash": op9_simhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL = {

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableops.llm.common import BROADCAST_ROWS, id_and_text, outer_id
+from tableops.llm.common import broadcast_if_small, id_and_text, inner_id, outer_id, with_text
 from tableops.llm.words import batch_words, buffers, gram_hashes, signed
 from tableops.scratch import Tables
 
@@ -153,10 +153,8 @@ def repeated_passages(docs: DataFrame, tables: Tables, min_words: int = 50) -> D
     suffixes = suffixes.sortWithinPartitions("head", "after", "doc_id", "pos").select("head", "doc_id")
     heads = suffixes.mapInArrow(_with_equal_neighbour, "doc_id long, head long")
     heads = tables.put(heads.groupBy("doc_id").agg(F.collect_set("head").alias("heads")), "heads")
-    wanted = docs
-    if heads.count() <= BROADCAST_ROWS:  # ids of 8 bytes: leave out the other texts before the shuffle
-        wanted = docs.join(F.broadcast(heads.select("doc_id")), "doc_id", "left_semi")
-    windows = wanted.join(heads, "doc_id").select("doc_id", "version", "text", "heads")
+    ids = broadcast_if_small(tables.put(heads.select("doc_id"), "ids"))  # leaves out the other texts before the shuffle
+    windows = docs.join(ids, "doc_id", "left_semi").join(heads, "doc_id").select("doc_id", "version", "text", "heads")
     windows = tables.put(windows.mapInArrow(_windows(min_words), "win long, doc_id long, version long, start int, again boolean"), "windows")
     once = windows.where("NOT again")
     first = once.groupBy("win").agg(F.min("doc_id").alias("kept_id"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -199,19 +197,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = words.start[a + end] - words.begin[i] if end < count else len(whole)
                 texts[row] = b"".join([*kept, whole[at:]]).decode()
         columns = [batch.column("doc_id"), batch.column("version"), pa.array(texts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "kept_text"])
+        yield pa.RecordBatch.from_arrays(columns, ["__id", "__version", "__kept"])
 
 
 def drop_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """(doc_id, version, kept_text) of each distinct (doc_id, text) whose text loses passages; version is the text's hash.
+    """docs with all their columns and without the passages of find_repeats.
 
-    Passages are those of find_repeats. Each goes from its first word to the word after it, so the white space that
-    follows goes with it.
+    A passage goes from its first word to the word after it, so the white space that follows goes with it. Texts without
+    a passage, null ones among them, stay as they are.
     """
     inner = id_and_text(docs)
     with Tables(docs.sparkSession) as tables:
         found = repeated_passages(inner, tables, min_words).groupBy("doc_id", "version")
-        found = tables.put(found.agg(F.collect_list(F.struct("start_word", "end_word")).alias("found")), "found", keep=True)
-    texts = inner.withColumn("version", F.xxhash64("text")).join(found, ["doc_id", "version"])
-    texts = texts.select("doc_id", "version", "text", "found").dropDuplicates(["doc_id", "version"])
-    return texts.mapInArrow(_cut, "doc_id long, version long, kept_text string")
+        found = tables.put(found.agg(F.collect_list(F.struct("start_word", "end_word")).alias("found")), "found")
+        ids = broadcast_if_small(tables.put(found.select("doc_id").distinct(), "ids"))
+        texts = inner.join(ids, "doc_id", "left_semi").withColumn("version", F.xxhash64("text")).join(found, ["doc_id", "version"])
+        texts = texts.select("doc_id", "version", "text", "found").mapInArrow(_cut, "__id long, __version long, __kept string")
+        texts = tables.put(texts.dropDuplicates(["__id", "__version"]), "texts", keep=True)
+    rows = docs.withColumns({"__id": inner_id(), "__version": F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = rows.join(texts, ["__id", "__version"], "left")
+    return with_text(rows, F.coalesce("__kept", "text")).select(*docs.columns)

@@ -1,7 +1,5 @@
 """Repeated passages against every window of every document."""
 
-import random
-
 import numpy as np
 from brute import corpus, table, words
 
@@ -36,12 +34,14 @@ def test_all_windows(spark):
 
 
 def test_dropping(spark):
-    r = random.Random(3)
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(i, f"eins  zwei{i}\n{passage}\tdrei{i} é") for i in range(6)] + [(9, passage), (10, "é " + passage)]
-    got = {x.doc_id: x.kept_text for x in drop_repeats(table(spark, rows)).collect()}
-    assert got == {**{i: f"eins  zwei{i}\ndrei{i} é" for i in range(1, 6)}, 9: "", 10: "é "}
-    assert r.random() < 1
+    rows += [(0, None)]
+    df = table(spark, rows).selectExpr("*", "1 AS found", "2 AS version")
+    got = drop_repeats(df).collect()
+    want = {*{(i, f"eins  zwei{i}\ndrei{i} é") for i in range(1, 6)}, (9, ""), (10, "é "), (0, None), (0, rows[0][1])}
+    assert {(x.doc_id, x.text) for x in got} == want and len(got) == len(rows)
+    assert all(x.n_chars == len(x.text) for x in got if x.text is not None) and got[0].found == 1
 
 
 def test_edges(spark):
