@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableops.scratch import shared_folder
-
-MAX_BROADCAST_ROWS = 100_000
 _SOURCE, _BEST = "__source", "__best"
 
 
@@ -30,16 +27,12 @@ def top_k_per_group(
     metric: str,
     k: int = 5,
     rank_column: str = "rank",
-    precompute: bool = True,
 ) -> DataFrame:
     """Rows whose metric is among the ``k`` highest distinct values of their group, with the dense rank.
 
     Ties may give more than ``k`` rows. The ranks come from the distinct values, which shrink to ``k`` per group and
     task before the shuffle, so no task gathers a whole group, however many rows share a value.
-
-    ``precompute`` runs that part when called and checkpoints it, ``k`` rows per group. Up to ``MAX_BROADCAST_ROWS``
-    of them are broadcast, so the rows themselves are not shuffled; beyond, they join by shuffle. Switch it off for a
-    small input that is costly to compute, such as an aggregate.
+    Lazy: the few ranks join the rows by broadcast or shuffle, as Spark's sizes suggest.
     """
     keys = [*by, metric]
     best_first = Window.partitionBy(*by).orderBy(F.desc(metric))
@@ -47,9 +40,4 @@ def top_k_per_group(
     ranks = values.withColumn(rank_column, F.row_number().over(best_first)).filter(F.col(rank_column) <= k)
     # A struct joins null groups and metrics like any other value.
     ranks = ranks.select(F.struct(*keys).alias(_BEST), rank_column)
-    if precompute:
-        shared_folder(df.sparkSession)
-        ranks = ranks.checkpoint()
-        if ranks.count() <= MAX_BROADCAST_ROWS:
-            ranks = F.broadcast(ranks)
     return df.withColumn(_BEST, F.struct(*keys)).join(ranks, _BEST).drop(_BEST)

@@ -19,10 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableops.scratch import stored
-
-ROWS_PER_TASK = 10_000_000
-MAX_CHUNKS = 50_000
+from tableops.scratch import Tables, stored
 
 _SOURCE, _CHUNK, _GROUP, _KEY = "__source", "__chunk", "__group", "__order"
 _WINDOW_COLUMNS = ("row_num", "rank", "dense_rank", "running_total")
@@ -57,17 +54,17 @@ def window_columns(
     lag: int = 1,
     lead: int = 1,
     tie_break: Sequence[str] = (),
-    split: bool | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    split: bool = True,
+    tables: Tables | None = None,
 ) -> DataFrame:
     """Add ``row_num``, ``rank``, ``dense_rank``, ``lag_{value}``, ``lead_{value}`` and ``running_total``.
 
     Lag and lead look along the descending order, so lag gives the row with the next higher ``order_by``. Positions
     are longs: a group may have more rows than an int can count when it is split.
 
-    ``split`` picks the plan. By default one aggregate over the group columns finds the largest group, and the split
-    plan is used when it has more than ``rows_per_task`` rows. The split plan runs a job when called: it writes the
-    range-partitioned rows to a table in ``spark.checkpoint.dir``.
+    ``split`` picks the plan and nothing is measured. The split plan holds for groups of any size; it runs one job when
+    called, which writes the range-partitioned rows to ``tables`` (dropped when the caller leaves that context) or else to
+    a table of its own in ``spark.checkpoint.dir``. ``split=False`` is for groups that each fit one task.
     """
     group = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     if lag < 1 or lead < 1:
@@ -77,20 +74,7 @@ def window_columns(
         raise ValueError(f"Columns already present: {taken}")
     spec = _Spec(group, order_by, list(tie_break), value, lag, lead)
 
-    if split is False:
-        return _plain(df, spec)
-    largest, total = _group_sizes(df, group)
-    if split is None and largest <= rows_per_task:
-        return _plain(df, spec)
-    chunks = min(MAX_CHUNKS, max(2, -(-total // rows_per_task)))
-    return _split(df, spec, chunks)
-
-
-def _group_sizes(df: DataFrame, group: list[str]) -> tuple[int, int]:
-    """Rows of the largest group and of the table."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    return row["largest"] or 0, row["total"] or 0
+    return _split(df, spec, tables) if split else _plain(df, spec)
 
 
 def _plain(df: DataFrame, spec: _Spec) -> DataFrame:
@@ -120,17 +104,17 @@ def _output(df: DataFrame, spec: _Spec) -> list[str]:
     return [f"`{c}`" for c in [*df.columns, *added]]
 
 
-def _split(df: DataFrame, spec: _Spec, chunks: int) -> DataFrame:
+def _split(df: DataFrame, spec: _Spec, tables: Tables | None) -> DataFrame:
     # Rows equal in every sort column still part by the input partition they come from. That number is the same when
     # a lost task runs again, unlike a random one, so each row keeps its place. Writing the rows then fixes the chunks:
-    # two range shuffles of one plan may sample different borders.
+    # two range shuffles of one plan may sample different borders. Without a number adaptive execution sizes the chunks.
     chunked = (
         df.withColumn(_SOURCE, F.spark_partition_id())
-        .repartitionByRange(chunks, *spec.group, *spec.ranked(), _SOURCE)
+        .repartitionByRange(*spec.group, *spec.ranked(), _SOURCE)
         .withColumn(_CHUNK, F.spark_partition_id())
         .drop(_SOURCE)
     )
-    rows = stored(chunked, "window_chunks")
+    rows = tables.put(chunked, "window_chunks") if tables else stored(chunked, "window_chunks")
     # A struct groups and joins null keys like any other value.
     rows = rows.withColumn(_GROUP, F.struct(*spec.group))
     keys = [_GROUP, _CHUNK]
@@ -200,7 +184,7 @@ def _chunk_carry(rows: DataFrame, spec: _Spec) -> DataFrame:
     tail = _edge(rows, reverse, spec.value, spec.lag).withColumn("edge", F.reverse("edge")).withColumnRenamed("edge", "tail")
     chunks = chunks.join(head, keys).join(tail, keys)
 
-    # A group has at most MAX_CHUNKS rows here, so these windows stay small.
+    # A group has one row per chunk here, so these windows stay small.
     in_order = Window.partitionBy(_GROUP).orderBy(_CHUNK)
     backwards = Window.partitionBy(_GROUP).orderBy(F.col(_CHUNK).desc())
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
@@ -226,8 +210,8 @@ def _chunk_carry(rows: DataFrame, spec: _Spec) -> DataFrame:
             {
                 "dense_before": F.coalesce(F.sum("fresh").over(earlier), F.lit(0)) - F.col("continues").cast("int"),
                 "open_rank": F.last("last_rank", ignorenulls=True).over(earlier),
-                "tail_before": F.flatten(F.collect_list("tail").over(in_order.rowsBetween(-spec.lag, -1))),
-                "head_after": F.flatten(F.collect_list("head").over(in_order.rowsBetween(1, spec.lead))),
+                "tail_before": _last(F.flatten(F.collect_list("tail").over(in_order.rowsBetween(-spec.lag, -1))), spec.lag),
+                "head_after": F.slice(F.flatten(F.collect_list("head").over(in_order.rowsBetween(1, spec.lead))), 1, spec.lead),
             }
         )
         .withColumn("total_after", F.sum("total").over(later))
@@ -236,6 +220,11 @@ def _chunk_carry(rows: DataFrame, spec: _Spec) -> DataFrame:
     return carried.select(*keys, F.struct(*carry).alias("__carry"))
 
 
+def _last(values: Column, size: int) -> Column:
+    """The last ``size`` entries of an array."""
+    return F.reverse(F.slice(F.reverse(values), 1, size))
+
+
 def _edge(rows: DataFrame, order: list[Column], value: str, size: int) -> DataFrame:
     """The first ``size`` values of each chunk in ``order``, as an array of structs that keeps nulls."""
     keys = [_GROUP, _CHUNK]

@@ -21,7 +21,7 @@ def top_products(sales: DataFrame, k: int = 5) -> DataFrame:
         "product_orders",
     ).filter(F.col("region").isNotNull())
     totals = products.groupBy("region").agg(F.sum("product_revenue").alias("total_revenue"))
-    best = top_k_per_group(products, ["region"], "product_revenue", k, "product_rank", precompute=False)
+    best = top_k_per_group(products, ["region"], "product_revenue", k, "product_rank")
     share = F.try_divide(F.col("product_revenue"), F.col("total_revenue")) * 100
     return (
         best.join(totals, "region")
@@ -38,8 +38,8 @@ def top_products(sales: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def high_value_customers(sales: DataFrame) -> DataFrame:
-    """Customers who spent more in total than the average row's revenue, largest spend first."""
+def high_value_customers(sales: DataFrame, times: float = 1) -> DataFrame:
+    """Customers who spent more in total than ``times`` the average row's revenue, largest spend first."""
     spend = _shared(
         sales.groupBy("customer_id").agg(
             F.sum("revenue").alias("spend"),
@@ -51,7 +51,7 @@ def high_value_customers(sales: DataFrame) -> DataFrame:
     )
     average = spend.agg(F.try_divide(F.sum("spend"), F.sum("n_priced"))).scalar()
     return (
-        spend.filter(F.col("spend") > average)
+        spend.filter(F.col("spend") > average * times)
         .select(
             "customer_id",
             F.round("spend", 2).alias("total_spend"),

@@ -3,7 +3,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tableops.operators.windows import window_columns
+from tableops.operators.windows import _chunk_carry, _Spec, window_columns
+from tableops.scratch import Tables
+
+@pytest.fixture(autouse=True)
+def small_chunks(spark):
+    """Adaptive execution then leaves several chunks also on small tables."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
 
 SCHEMA = "id long, g string, o int, v long"
 COLUMNS = ["row_num", "rank", "dense_rank", "lag_v", "lead_v", "running_total"]
@@ -53,7 +62,7 @@ def test_against_brute_force(spark, split, lag, lead, values):
     rows = random_rows(lag + values, 400, values)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = window_columns(
-        df, "g", "o", "v", lag=lag, lead=lead, tie_break=["id"], split=split, rows_per_task=15
+        df, "g", "o", "v", lag=lag, lead=lead, tie_break=["id"], split=split
     )
     assert got.columns == ["id", "g", "o", "v", *COLUMNS]
     assert result(got) == brute_force(rows, lag, lead)
@@ -61,37 +70,65 @@ def test_against_brute_force(spark, split, lag, lead, values):
 
 def test_split_and_plain_have_the_same_schema(spark):
     df = spark.createDataFrame(random_rows(1, 50, 4), SCHEMA).withColumn("v", F.col("v").cast("decimal(9,2)"))
-    plans = [window_columns(df, ["g"], "o", "v", tie_break=["id"], split=s, rows_per_task=10) for s in (False, True)]
+    plans = [window_columns(df, ["g"], "o", "v", tie_break=["id"], split=s) for s in (False, True)]
     assert [f.dataType for f in plans[0].schema] == [f.dataType for f in plans[1].schema]
 
 
 def test_one_value_in_every_row(spark):
     """All rows are peers: every chunk continues the same run."""
     df = spark.range(200).select("id", F.lit("x").alias("g"), F.lit(7).alias("o"), F.col("id").alias("v"))
-    got = window_columns(df, "g", "o", "v", tie_break=["id"], split=True, rows_per_task=20)
+    got = window_columns(df, "g", "o", "v", tie_break=["id"], split=True)
     summary = got.agg(F.max("rank"), F.max("dense_rank"), F.count_distinct("row_num"), F.max("row_num")).first()
     assert tuple(summary) == (1, 1, 200, 200)
 
 
 def test_copies_of_a_row_spread_over_chunks(spark):
     df = spark.range(0, 400, numPartitions=8).select(F.lit("x").alias("g"), F.lit(1).alias("o"), F.lit(2).alias("v"))
-    got = window_columns(df, "g", "o", "v", split=True, rows_per_task=50)
+    got = window_columns(df, "g", "o", "v", split=True)
     row = got.agg(F.count_distinct("row_num"), F.max("running_total"), F.min("running_total")).first()
     assert tuple(row) == (400, 800, 2)
 
 
-def test_large_groups_are_split_by_default(spark):
+def jobs_of(spark, call):
+    tracker, group = spark.sparkContext.statusTracker(), f"windows-{id(call)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return call(), len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_plans(spark):
+    """The default is safe for any group and runs the one write; the plain form runs nothing."""
     df = spark.createDataFrame(random_rows(2, 100, 4), SCHEMA)
-    plain = window_columns(df, "g", "o", "v", tie_break=["id"])
-    split = window_columns(df, "g", "o", "v", tie_break=["id"], rows_per_task=10)
+    plain, none = jobs_of(spark, lambda: window_columns(df, "g", "o", "v", tie_break=["id"], split=False))
+    split, some = jobs_of(spark, lambda: window_columns(df, "g", "o", "v", tie_break=["id"]))
+    assert none == 0 and 1 <= some <= 3  # the sample of the range shuffle, the shuffle, the write
     assert "__chunk" not in plain._jdf.queryExecution().toString()
     assert "__chunk" in split._jdf.queryExecution().toString()
     assert result(plain) == result(split)
 
 
+def test_table_goes_with_the_context(spark):
+    df = spark.createDataFrame(random_rows(3, 100, 4), SCHEMA)
+    with Tables(spark) as tables:
+        got = window_columns(df, "g", "o", "v", tie_break=["id"], tables=tables)
+        assert got.count() == 100
+        assert len(spark.catalog.listTables(tables.database)) == 1
+    assert not spark.catalog.databaseExists(tables.database)
+
+
+def test_carried_values_are_few(spark):
+    df = spark.range(300).selectExpr("id", "'x' AS g", "id AS o", "id AS v").repartition(6)
+    spec = _Spec(["g"], "o", ["id"], "v", 20, 7)
+    rows = df.repartitionByRange(8, "o").withColumn("__chunk", F.spark_partition_id()).withColumn("__group", F.struct("g"))
+    sizes = _chunk_carry(rows, spec).select(F.max(F.size("__carry.tail_before")), F.max(F.size("__carry.head_after"))).first()
+    assert tuple(sizes) == (20, 7)
+
+
 def test_column_names_of_the_table_do_not_matter(spark):
     df = spark.range(30).selectExpr("id", "'x' AS rows", "id % 3 AS continues", "id AS position")
-    got = window_columns(df, "rows", "continues", "position", tie_break=["id"], split=True, rows_per_task=5)
+    got = window_columns(df, "rows", "continues", "position", tie_break=["id"], split=True)
     assert got.count() == 30
     with pytest.raises(ValueError, match="already present"):
         window_columns(df.withColumn("rank", F.lit(1)), "rows", "continues", "position")
@@ -104,7 +141,7 @@ def test_order_column_as_value(spark):
     df = spark.createDataFrame(rows, "id int, x double").withColumn("g", F.lit(None).cast("string"))
     columns = ["id", "row_num", "rank", "dense_rank"]
     plain, split = (
-        {tuple(r) for r in window_columns(df, "g", "x", "x", tie_break=["id"], split=s, rows_per_task=8).select(*columns).collect()}
+        {tuple(r) for r in window_columns(df, "g", "x", "x", tie_break=["id"], split=s).select(*columns).collect()}
         for s in (False, True)
     )
     assert plain == split
