@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Names of the aggregates.
 _METRICS = {
     "sum": F.sum,
     "avg": F.avg,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableops.functions import metric
+from tableops.scratch import Tables
 
-
-MAX_SKETCH_TASKS = 4096
+SKETCH_SIZE = 4096  # of the percentile sketches: a rank error of about 0.1 %
+_SKETCHES_PER_MERGE = 1000
 
 
 def group_aggregate(df: DataFrame, by: Sequence[str], metrics: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -22,39 +23,73 @@ def group_aggregate(df: DataFrame, by: Sequence[str], metrics: Mapping[str, Sequ
     return df.groupBy(*by).agg(*columns)
 
 
-def stats_summary(
-    df: DataFrame,
-    columns: Sequence[str],
-    percentiles: Sequence[float] | None = None,
-    accuracy: int = 10_000,
-) -> DataFrame:
+def stats_summary(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] | None = None) -> DataFrame:
     """One row with mean, stddev, min, max and optional approximate percentiles of each column, in one pass.
 
-    Columns the table lacks are skipped; if none is left the result has no rows. All percentiles of a column share
-    one sketch, whose relative rank error is ``1 / accuracy`` and whose size grows with ``accuracy``, not with the
-    table. One task merges the sketches of all others, so with percentiles the input is read by at most
-    ``MAX_SKETCH_TASKS`` tasks, each of which takes several file splits; this needs no shuffle.
+    Columns the table lacks are skipped; if none is left the result has no rows. All percentiles of a column share one
+    sketch (KLL, ``SKETCH_SIZE``), which is randomised: ranks are right to about 0.1 % of the rows, whatever their
+    number. Input partitions are merged by the thousand and those results in one task, so neither the scan nor a merge
+    is held to a number of tasks.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], T.StructType([T.StructField("_empty", T.StringType())]))
-    shares = list(percentiles or [])
-    measures, output = [], []
-    for c in present:
-        measures += [
+    # Names and roundings of the results.
+    measures = [
+        measure
+        for c in present
+        for measure in (
             F.round(F.mean(c), 4).alias(f"mean_{c}"),
             F.round(F.stddev(c), 4).alias(f"stddev_{c}"),
             F.min(c).alias(f"min_{c}"),
             F.max(c).alias(f"max_{c}"),
+        )
+    ]
+    shares = list(percentiles or [])
+    summary = df.agg(*measures)
+    if not shares:
+        return summary
+    sketches = [F.kll_sketch_agg_double(F.col(f"`{c}`").cast("double"), SKETCH_SIZE).alias(c) for c in present]
+    parts = df.groupBy(F.floor(F.spark_partition_id() / _SKETCHES_PER_MERGE).alias("__part")).agg(*sketches)
+    whole = parts.agg(*[F.kll_merge_agg_double(F.col(f"`{c}`"), SKETCH_SIZE).alias(c) for c in present])
+    found = whole.select(
+        *[
+            F.kll_sketch_get_quantile_double(F.col(f"`{c}`"), F.lit(float(p))).alias(f"p{_percent(p)}_{c}")
+            for c in present
+            for p in shares
         ]
-        output += [F.col(f"{name}_{c}") for name in ("mean", "stddev", "min", "max")]
-        if shares:
-            sketch = f"__percentiles_{c}"
-            measures.append(F.percentile_approx(c, shares, accuracy).alias(sketch))
-            output += [F.col(sketch)[i].alias(f"p{_percent(p)}_{c}") for i, p in enumerate(shares)]
-    if shares:
-        df = df.select(*[f"`{c}`" for c in present]).coalesce(MAX_SKETCH_TASKS)
-    return df.agg(*measures).select(*output)
+    )
+    names = [[*[f"{m}_{c}" for m in ("mean", "stddev", "min", "max")], *[f"p{_percent(p)}_{c}" for p in shares]] for c in present]
+    return summary.join(found).select(*[f"`{name}`" for group in names for name in group])  # one row each
+
+
+def exact_percentiles(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]) -> DataFrame:
+    """One row with exact discrete percentiles ``p{n}_{column}``: the smallest value whose rank reaches the share.
+
+    Values are counted first, so copies cost one row per task, and range-partitioned. One row per partition tells where
+    its ranks begin; a partition's ranks are running sums within it. Nulls do not count; a column without values gives
+    nulls. Runs two small jobs per column when called, and writes the counts to the shared folder.
+    """
+    rows, spark = [], df.sparkSession
+    for c in columns:
+        with Tables(spark) as tables:
+            counts = df.select(F.col(f"`{c}`").alias("value")).where("value IS NOT NULL").groupBy("value").count()
+            counts = tables.put(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "counts")
+            parts = counts.groupBy("part").agg(F.sum("count").alias("n"))
+            before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per partition
+            parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+            upto = F.sum("count").over(Window.partitionBy("part").orderBy("value"))
+            ranked = counts.withColumn("upto", upto).join(F.broadcast(parts), "part").withColumn("rank", F.col("upto") + F.col("before"))
+            total = counts.agg(F.sum("count")).scalar()
+            picks = [
+                F.min(F.when(F.col("rank") >= F.ceil(F.col("total") * F.lit(p).cast("decimal(9,6)")), F.col("value"))) for p in percentiles
+            ]
+            found = ranked.withColumn("total", total).agg(*[x.alias(f"p{_percent(p)}_{c}") for x, p in zip(picks, percentiles)])
+            rows.append(tables.put(found, "found", keep=True))
+    joined = rows[0]
+    for row in rows[1:]:
+        joined = joined.join(row)  # one row each
+    return joined
 
 
 def _percent(share: float) -> str:
@@ -67,6 +102,7 @@ def sales_summary(df: DataFrame, by: Sequence[str] = ("region", "product")) -> D
     missing = sorted({*by, "revenue", "order_id", "customer_id"} - set(df.columns))
     if missing:
         raise ValueError(f"sales_summary lacks columns: {missing}")
+    # Names and roundings of the results.
     summary = df.groupBy(*by).agg(
         F.round(F.sum("revenue"), 2).alias("total_revenue"),
         F.count("order_id").alias("total_orders"),
