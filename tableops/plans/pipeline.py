@@ -19,8 +19,9 @@ from tableops.operators.transforms import (
     filter_rows,
     standardise_strings,
 )
-from tableops.operators.windows import ROWS_PER_TASK, window_columns
+from tableops.operators.windows import window_columns
 from tableops.plans.reports import high_value_customers, rolling_revenue, top_products
+from tableops.scratch import Tables
 from tableops.sinks import read_back, write_parquet
 
 # Required columns, target types, fill values, text columns, output directories and percentiles.
@@ -30,6 +31,8 @@ FILLS = {"discount": 0.0, "region": "UNKNOWN"}
 TEXTS = ("region", "product", "payment_method")
 DIRECTORIES = ("order_year", "order_month", "region")
 PERCENTILES = (0.25, 0.5, 0.75, 0.95)
+FILTER = "quantity > 0 AND unit_price > 0"
+MONTHLY = {"revenue": ["sum", "avg", "max"], "quantity": ["sum"], "order_id": ["count"]}
 
 
 def transform_sales(
@@ -44,16 +47,20 @@ def transform_sales(
     comparison. Of several rows of an order the first in ``dedup_order`` stays, by default in the order of all columns.
     """
     present = {name: target for name, target in casts.items() if name in source.columns}
-    order = dedup_order or [c for c in source.columns if c != "order_id"]
-    return (
+    order = list(dedup_order or [c for c in source.columns if c != "order_id"])
+    clean = (
         cast_columns(source, present)
-        .transform(filter_rows, "quantity > 0 AND unit_price > 0")
+        .transform(filter_rows, FILTER)
         .transform(fill_nulls, {c: v for c, v in FILLS.items() if c in source.columns})
-        .transform(derive_columns, ingested_at)
-        .transform(classify)
-        .transform(dedup_keys, ["order_id"], order)
-        .transform(standardise_strings, TEXTS)
     )
+    # Derived columns depend on their own row only: unless the order names one, the narrower rows are shuffled.
+    early = all(c in source.columns for c in order if isinstance(c, str)) and all(isinstance(c, str) for c in order)
+    if early:
+        clean = clean.transform(dedup_keys, ["order_id"], order)
+    derived = clean.transform(derive_columns, ingested_at).transform(classify)
+    if not early:
+        derived = derived.transform(dedup_keys, ["order_id"], order)
+    return derived.transform(standardise_strings, TEXTS)
 
 
 def run_sales_pipeline(
@@ -64,7 +71,7 @@ def run_sales_pipeline(
     dedup_order: Sequence[str | Column] | None = None,
     min_rows: int = 100,
     null_threshold: float = 0.5,
-    rows_per_task: int = ROWS_PER_TASK,
+    split_windows: bool = True,
 ) -> dict[str, int]:
     """Run the job and return the rows written per output.
 
@@ -82,28 +89,37 @@ def run_sales_pipeline(
 
     columns = [*REQUIRED, "revenue", "sales_tier"]
     stored = read_back(spark, target, expected_columns=columns, schema=transformed.schema)
-    sales = stored.filter(F.col("ingestion_ts") == F.lit(started))
+    sales = of_run(stored, started)
 
-    regional = group_aggregate(
-        sales,
-        ["region", "order_year", "order_month"],
-        {"revenue": ["sum", "avg", "max"], "quantity": ["sum"], "order_id": ["count"]},
-    )
-    written["regional_summary"] = write_parquet(
-        regional, f"{out_dir}/regional_summary", ["order_year", "region"]
-    )
-    outputs = {
-        "windowed": window_columns(
-            sales, "region", "order_date", "revenue", tie_break=["order_id"], rows_per_task=rows_per_task
-        ),
-        "top_products": top_products(sales),
-        "high_value_customers": high_value_customers(sales),
-        "rolling_revenue": rolling_revenue(sales),
-        "stats": stats_summary(sales, ["revenue", "quantity", "unit_price"], PERCENTILES),
-    }
-    for name, df in outputs.items():
-        written[name] = write_parquet(df, f"{out_dir}/{name}")
+    regional = group_aggregate(sales, ["region", "order_year", "order_month"], MONTHLY)
+    # The same directories as the transformed table: a run replaces the months that it has written, and no others.
+    written["regional_summary"] = write_parquet(regional, f"{out_dir}/regional_summary", DIRECTORIES)
+    with Tables(spark) as tables:
+        outputs = {
+            "windowed": window_columns(
+                sales, "region", "order_date", "revenue", tie_break=["order_id"], split=split_windows, tables=tables
+            ),
+            "top_products": top_products(sales),
+            "high_value_customers": high_value_customers(sales),
+            "rolling_revenue": rolling_revenue(sales),
+            "stats": stats_summary(sales, ["revenue", "quantity", "unit_price"], PERCENTILES),
+        }
+        for name, df in outputs.items():
+            written[name] = write_parquet(df, f"{out_dir}/{name}")
 
     if sales.count() != written["transformed"]:
         raise ValueError("The files of the transformed table do not hold the rows that were written")
     return written
+
+
+def of_run(stored: DataFrame, started: datetime) -> DataFrame:
+    """Rows of the transformed table that a run wrote.
+
+    The run replaced whole directories, so its rows are all rows of the directories that hold one of them: a scan of
+    ``ingestion_ts`` alone finds these, and the semi join prunes the wider scans to them.
+    """
+    own = stored.filter(F.col("ingestion_ts") == F.lit(started))
+    where = F.broadcast(own.select(*[F.col(c).alias(f"__{c}") for c in DIRECTORIES]).distinct())  # one row per directory
+    pruned = own.join(where, [F.col(c) == F.col(f"__{c}") for c in DIRECTORIES], "left_semi")
+    undated = " OR ".join(f"{c} IS NULL" for c in DIRECTORIES)  # a directory of their own, which no equality finds
+    return pruned.unionByName(own.filter(undated))

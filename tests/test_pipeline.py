@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tableops.plans.pipeline import run_sales_pipeline, transform_sales
+from tableops.plans.pipeline import of_run, run_sales_pipeline, transform_sales
 from tableops.sources import scan_csv
 
 HEADER = "order_id,order_date,region,customer_id,product,quantity,unit_price,discount,payment_method,customer_age"
@@ -77,8 +77,8 @@ def test_summary_adds_up(spark, run):
     assert summary[0] == pytest.approx(sales[0]) and summary[1] == sales[1]
 
 
-def test_windowed_with_split_groups(spark, source, run, tmp_path):
-    run_sales_pipeline(spark, source, str(tmp_path), rows_per_task=20)
+def test_windowed_without_split_groups(spark, source, run, tmp_path):
+    run_sales_pipeline(spark, source, str(tmp_path), split_windows=False)
     columns = ["order_id", "row_num", "rank", "dense_rank", "lag_revenue", "lead_revenue"]
     plain, split = (
         {tuple(r) for r in spark.read.parquet(f"{p}/windowed").select(*columns).collect()} for p in (run[0], tmp_path)
@@ -93,9 +93,25 @@ def test_second_run_keeps_other_directories(spark, source, tmp_path):
     written = run_sales_pipeline(spark, later, str(tmp_path), min_rows=1)
     stored = spark.read.parquet(f"{tmp_path}/transformed")
     assert stored.count() == 150
+    summary = spark.read.parquet(f"{tmp_path}/regional_summary").agg(F.sum("count_order_id"), F.sum("sum_revenue")).first()
+    assert summary[0] == 150 and summary[1] == pytest.approx(stored.agg(F.sum("revenue")).first()[0])
     assert stored.filter("order_month = 2").count() == written["transformed"] == written["windowed"] < 150
 
 
+def test_reads_only_the_directories_of_the_run(spark, run):
+    stored = spark.read.parquet(f"{run[0]}/transformed")
+    started = stored.select("ingestion_ts").first()[0]
+    plan = of_run(stored, started)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+def test_dedup_comes_before_the_derived_columns(source):
+    plan = transform_sales(source)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("profit_margin") < plan.index("Window")  # printed from the result down
+    by_revenue = transform_sales(source, dedup_order=["revenue"])
+    assert by_revenue.count() == 150
+
+
 def test_failed_check_writes_nothing(spark, source, tmp_path):
     with pytest.raises(ValueError, match="minimum required"):
         run_sales_pipeline(spark, source, str(tmp_path / "out"), min_rows=1000)
