@@ -24,7 +24,8 @@ _KINDS = {
     "full_outer": "full",
     "outer": "full",
 }
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_BYTES = 10 * 1024 * 1024  # Spark's own default: of compressed files, several times as much in memory
+MIN_HOT_SHARE = 1e-4
 
 
 def _kind(how: str) -> str:
@@ -45,8 +46,9 @@ def join_tables(
     how: str = "inner",
     where: str | None = None,
     skew_safe: bool = True,
+    select: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Equi-join with an optional filter on the result.
+    """Equi-join with an optional filter on the result and an optional list of columns or expressions to return.
 
     ``skew_safe=False`` uses Spark's own outer join, which reads each side once. It suits a right side that has
     each key once. With the default the inputs are read twice and must be deterministic.
@@ -59,7 +61,8 @@ def join_tables(
     else:
         renamed, names = _distinct_names(left, right, keys)
         joined = _with_unmatched(left.join(renamed, keys, "inner"), left, renamed, keys, kind).toDF(*names)
-    return joined.filter(where) if where else joined
+    joined = joined.filter(where) if where else joined
+    return joined.selectExpr(*select) if select else joined
 
 
 def _distinct_names(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -116,19 +119,22 @@ def salted_join(
     salt_buckets: int = 10,
     hot_share: float = 0.01,
     salt_by: Sequence[str] | None = None,
+    hot_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Join that cuts each frequent key of ``large`` into ``salt_buckets`` parts.
 
-    Keys with more than ``hot_share`` of the rows are salted, at most ``1 / hot_share`` of them, so the list of hot
-    keys is always small enough to broadcast. Only those rows of ``small`` are copied per bucket. The bucket comes
+    Keys with more than ``hot_share`` of the rows are salted, at most ``1 / hot_share`` of them and so 10,000 at most, a
+    list that is small enough to broadcast. One aggregate over the keys of ``large`` finds them; ``hot_keys``, a short table of
+    the key columns, saves that pass where they are known (its size is the caller's to check). Only those rows of ``small`` are copied per bucket. The bucket comes
     from the row's content and its input partition: a task that runs again gives every row the same bucket, and equal
     rows from different partitions still spread out.
     """
     keys, kind = _keys(on), _kind(how)
-    if salt_buckets < 1 or not 0 < hot_share <= 1:
-        raise ValueError("salt_buckets must be at least 1 and hot_share in (0, 1]")
+    if salt_buckets < 1 or not MIN_HOT_SHARE <= hot_share <= 1:
+        raise ValueError(f"salt_buckets must be at least 1 and hot_share in [{MIN_HOT_SHARE}, 1]")
     renamed, names = _distinct_names(large, small, keys)
-    hot = F.broadcast(_hot_keys(large, keys, hot_share))
+    known = hot_keys.select(*keys, F.lit(True).alias("__hot")).distinct() if hot_keys is not None else None
+    hot = F.broadcast(_hot_keys(large, keys, hot_share) if known is None else known)
 
     content = salt_by or large.columns
     bucket = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salt_buckets)).cast("int")
@@ -141,6 +147,7 @@ def salted_join(
 
 
 def _hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys with more than ``share`` of the rows. The total sums the same counts, whose shuffle Spark takes again."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     total = counts.agg(F.sum("__rows")).scalar()
     return counts.filter(F.col("__rows") > total * share).select(*keys, F.lit(True).alias("__hot"))

@@ -36,8 +36,10 @@ def _safe_cast(field: T.StructField, target: str | T.DataType) -> Column:
     cast = column.try_cast(target)
     integral = target.lower() in _INTEGRAL_NAMES if isinstance(target, str) else isinstance(target, _INTEGRAL_TYPES)
     if integral and isinstance(field.dataType, T.StringType):
-        # Text such as '2.7' is no integer to try_cast; cut the fraction off, as a cast from a number does.
-        cast = F.coalesce(cast, column.try_cast("decimal(38,18)").try_cast(target))
+        # Text such as '2.7' is no integer to try_cast; cut the fraction off, as a cast from a number does. Text with an
+        # exponent stays null.
+        fraction = F.when(column.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), column.try_cast("decimal(38,18)").try_cast(target))
+        cast = F.coalesce(cast, fraction)
     return cast
 
 

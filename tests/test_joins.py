@@ -95,12 +95,25 @@ def test_where(frames, data):
     assert got == [r for r in expected(*data, "left") if r[2] is None or r[1] > 100]
 
 
+def test_select(frames, data):
+    df = joins.join_tables(*frames, "k", "left", where="a IS NOT NULL", select=["b", "k + 1 AS next"])
+    assert df.columns == ["b", "next"] and df.count() == len([r for r in expected(*data, "left") if r[1] is not None])
+
+
+def test_known_hot_keys_cost_no_pass(spark, frames, data):
+    hot = frames[0].select("k").distinct().limit(2)
+    assert rows(joins.salted_join(*frames, "k", "inner", 3, hot_keys=hot)) == expected(*data, "inner")
+    text = joins.salted_join(*frames, "k", hot_keys=spark.createDataFrame([(1,)], "k int"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(" not in text
+
+
 def test_unknown_type(frames):
     for join in (joins.join_tables, joins.broadcast_join, joins.salted_join):
         with pytest.raises(ValueError, match="Unknown join type"):
             join(*frames, "k", "sideways")
-    with pytest.raises(ValueError):
-        joins.salted_join(*frames, "k", salt_buckets=0)
+    for options in ({"salt_buckets": 0}, {"hot_share": 1e-8}):
+        with pytest.raises(ValueError):
+            joins.salted_join(*frames, "k", **options)
 
 
 def plan(df):

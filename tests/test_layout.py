@@ -8,7 +8,7 @@ from tableops.scratch import scratch_path, shared_folder
 
 class TestPartitions:
     def test_fewer_without_a_shuffle(self, spark):
-        df = layout.set_partitions(spark.range(0, 100, numPartitions=10), 4)
+        df = layout.set_partitions(spark.range(0, 100, numPartitions=10), 4, fewer=True)
         assert df.rdd.getNumPartitions() == 4
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
@@ -17,24 +17,26 @@ class TestPartitions:
         assert df.rdd.getNumPartitions() == 6
         assert df.count() == 100
 
-    def test_known_count_is_not_measured(self, spark):
-        df = layout.set_partitions(spark.range(0, 100, numPartitions=2), 6, current=50)
-        assert df.rdd.getNumPartitions() == 2
+    def test_by_column_keeps_the_count_and_splits_a_hot_value(self, spark):
+        df = spark.range(0, 4000, numPartitions=4).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("k"), "id")
+        spread = layout.set_partitions(df, 16, "k")
+        assert spread.columns == ["k", "id"]
+        homes = spread.withColumn("p", F.spark_partition_id())
+        assert homes.select("p").distinct().count() == 16
+        assert homes.filter("k = 1").select("p").distinct().count() > 8
 
-    def test_by_column(self, spark):
+    def test_gather(self, spark):
         df = spark.range(1000).withColumn("k", F.col("id") % 5)
-        kept = layout.set_partitions(df, 6, "k", keep_together=True)
-        assert kept.rdd.getNumPartitions() == 6
+        kept = layout.gather(df, "k", keep_together=True)
         homes = kept.withColumn("p", F.spark_partition_id()).groupBy("k").agg(F.count_distinct("p").alias("n"))
         assert {r["n"] for r in homes.collect()} == {1}
-        plan = layout.set_partitions(df, 6, "k")._jdf.queryExecution().executedPlan().toString()
-        assert "REBALANCE_PARTITIONS_BY_COL" in plan
+        assert "REBALANCE_PARTITIONS_BY_COL" in layout.gather(df, "k")._jdf.queryExecution().executedPlan().toString()
 
-    def test_hot_value_is_split(self, spark):
+    def test_gather_splits_a_hot_value(self, spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
         try:
             df = spark.range(0, 400_000, numPartitions=8).select(F.lit(1).alias("k"), F.rand(1).alias("v"))
-            split = layout.set_partitions(df, 4, "k").rdd.getNumPartitions()
+            split = layout.gather(df, "k").rdd.getNumPartitions()
         finally:
             spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         assert split > 4
@@ -55,6 +57,15 @@ class TestCache:
         assert not layout.uncache(df).is_cached
 
 
+    def test_released_after_use(self, spark):
+        df = spark.range(3).withColumn("y", F.lit("released"))
+        with pytest.raises(RuntimeError):
+            with layout.cached(df) as kept:
+                assert kept.is_cached and kept.count() == 3
+                raise RuntimeError
+        assert not df.is_cached
+
+
 class TestProfiles:
     def test_partitions(self, spark):
         df = spark.createDataFrame([(i,) for i in range(10)], "id int").coalesce(1)
@@ -62,7 +73,8 @@ class TestProfiles:
 
     def test_empty_partitions_count(self, spark):
         df = spark.range(0, 8, numPartitions=4).filter("id < 2")
-        assert tuple(layout.partition_profile(df).first()) == (4, 2, 0, 2, 4.0)
+        assert tuple(layout.partition_profile(df, 4).first()) == (4, 2, 0, 2, 4.0)
+        assert tuple(layout.partition_profile(df).first()) == (1, 2, 2, 2, 0.0)
 
     def test_empty_table(self, spark):
         assert tuple(layout.partition_profile(spark.range(0, 0, numPartitions=2), 2).first()) == (2, 0, 0, 0, 0.0)
