@@ -78,9 +78,11 @@ def _with_gappy(select: str) -> str:
     return f"WITH {_GAPPY}\n{select}"
 
 
-_ORDER_FIELDS = "o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderpriority"
+_ORDER_FIELDS = "o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderpriority"
 _ORDER_RECORDS = f"SELECT {_ORDER_FIELDS} FROM orders"
 
+_EVENT_RECORDS = "SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events"
+
 _RANKED = "PARTITION BY region ORDER BY order_date DESC NULLS LAST, order_id, product, revenue"
 _BY_VALUE = "PARTITION BY region ORDER BY order_date DESC NULLS LAST"
 _RISING = (
@@ -160,26 +162,38 @@ _RISING_ORDERS = (
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 )
 
+_DOUBLE_MONEY = (
+    "* REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount, "
+    "CAST(revenue AS DOUBLE) AS revenue)"
+)
+
 _BROKEN = "o_orderpriority = '5-LOW'"
 
 ORACLE_SQL: dict[str, str] = {
     "scan_csv": _ORDER_RECORDS,
     "scan_csv_inferred": _ORDER_RECORDS,
     "scan_csv_mode": f"""
-SELECT o_orderkey, o_custkey, CASE WHEN NOT {_BROKEN} THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN NOT {_BROKEN} THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
        CASE WHEN NOT {_BROKEN} THEN o_totalprice END AS o_totalprice,
        CASE WHEN NOT {_BROKEN} THEN o_orderpriority END AS o_orderpriority,
        CAST({_BROKEN} AS INTEGER) AS is_corrupt
 FROM orders""",
     "scan_csv_dropmalformed": f"{_ORDER_RECORDS} WHERE NOT {_BROKEN}",
-    "scan_json": "SELECT event_id, user_id, event_type, value FROM events",
-    "scan_json_inferred": "SELECT event_id, user_id, event_type, value FROM events",
+    "scan_csv_timestamps": "SELECT * EXCLUDE (props) REPLACE (date_trunc('second', ts) AS ts) FROM events",
+    "scan_json": _EVENT_RECORDS,
+    "scan_json_inferred": _EVENT_RECORDS,
+    "scan_json_multiline": _EVENT_RECORDS,
+    "scan_json_permissive": """
+SELECT CASE WHEN event_type <> 'error' THEN event_type END AS event_type, CAST(event_type = 'error' AS INTEGER) AS is_corrupt,
+       count(*) AS n
+FROM events GROUP BY 1, 2""",
+    "scan_json_dropmalformed": f"{_EVENT_RECORDS} WHERE event_type <> 'error'",
     "scan_files": "SELECT * FROM part",
     "scan_dispatch": "SELECT * FROM supplier",
     "scan_incremental": """
 SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
 WHERE o_orderdate > TIMESTAMP '1999-06-15 00:00:00'""",
-    "validate_columns": "SELECT * FROM customer",
+    "validate_columns": "SELECT *, 1 AS names_what_lacks FROM customer",
     "validate_row_count": "SELECT o_orderstatus, count(o_orderkey) AS count_o_orderkey FROM orders GROUP BY o_orderstatus",
     "null_ratio_profile": _with_gappy(
         " UNION ALL ".join(
@@ -194,7 +208,8 @@ SELECT {_ORDER_FIELDS}, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders
     "select_rename": "SELECT c_custkey AS id, c_name AS customer, c_mktsegment AS segment FROM customer",
     "cast_columns": """
 SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, CAST(l_quantity AS INTEGER) AS l_quantity,
-       TRY_CAST(l_returnflag AS DOUBLE) AS l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate
+       TRY_CAST(l_returnflag AS DOUBLE) AS l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate,
+       CASE l_linenumber WHEN 2 THEN 2 WHEN 3 THEN 12 WHEN 4 THEN -3 WHEN 6 THEN 6 WHEN 7 THEN 7 END AS l_text
 FROM lineitem""",
     "nulls_drop": _with_gappy("SELECT * FROM gappy WHERE l_discount IS NOT NULL AND l_returnflag IS NOT NULL"),
     "nulls_fill": _with_gappy(
@@ -310,7 +325,13 @@ FROM labels l FULL JOIN embeddings e ON l.doc_id = e.vec_id""",
     ),
     "join_broadcast": """
 SELECT c_nationkey, c_custkey, c_acctbal, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "join_salted": _join_events("INNER"),
+    "join_select": "SELECT c_custkey AS customer, upper(c_name) AS name, value FROM customer JOIN events ON c_custkey = user_id",
+    "join_full_native": """
+SELECT coalesce(l.doc_id, e.vec_id) AS doc_id, quality, toxic, label
+FROM labels l FULL JOIN embeddings e ON l.doc_id = e.vec_id""",
+    "join_salted": """
+SELECT event_type, event_id, value, n_of_type
+FROM events JOIN (SELECT event_type, count(*) AS n_of_type FROM events GROUP BY event_type) USING (event_type)""",
     "join_salted_full": _join_events("FULL"),
     "sort_desc": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC",
     "sort_multi": "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer ORDER BY c_mktsegment, c_nationkey, c_custkey",
@@ -342,6 +363,10 @@ WHERE product_rank <= 5"""),
 SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS total_spend, count(order_id) AS num_orders,
        (SELECT {_mean('sum(revenue)', 'count(*)')} FROM sales) AS avg_order_overall
 FROM sales GROUP BY customer_id HAVING sum(revenue) > (SELECT avg(revenue) FROM sales)"""),
+    "report_high_value_customers_times": _with_sales(f"""
+SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS total_spend, count(order_id) AS num_orders,
+       (SELECT {_mean('sum(revenue)', 'count(*)')} FROM sales) AS avg_order_overall
+FROM sales GROUP BY customer_id HAVING sum(revenue) > 40 * (SELECT avg(revenue) FROM sales)"""),
     "scalar_subquery": """
 SELECT o_orderkey, o_totalprice FROM orders
 WHERE CAST(o_totalprice AS DECIMAL(14,2)) > (SELECT avg(CAST(o_totalprice AS DECIMAL(14,2))) FROM orders)""",
@@ -349,13 +374,21 @@ WHERE CAST(o_totalprice AS DECIMAL(14,2)) > (SELECT avg(CAST(o_totalprice AS DEC
 SELECT customer_id, CAST(sum(quantity) AS BIGINT) AS sum_quantity FROM sales
 GROUP BY customer_id HAVING sum(quantity) > 1200"""),
     "report_rolling_revenue": _ROLLING,
-    "layout_repartition": """
-SELECT o_custkey, count(o_orderkey) AS count_o_orderkey, min(o_orderkey) AS min_o_orderkey,
-       max(o_orderkey) AS max_o_orderkey
-FROM orders GROUP BY o_custkey""",
-    "layout_cache": "SELECT * FROM customer",
-    "layout_unpersist": "SELECT * FROM supplier",
-    "partition_skew_profile": "SELECT 8 AS n_partitions, count(*) AS n_rows, 1 AS is_consistent FROM lineitem",
+    "layout_repartition": "SELECT CAST(16 AS BIGINT) AS n_partitions, count(*) AS n_rows, 1 AS is_even FROM orders",
+    "layout_cache": """
+SELECT c_mktsegment AS name, count(*) AS n, 1 AS on_disk, 0 AS in_memory FROM customer GROUP BY c_mktsegment""",
+    "layout_unpersist": """
+SELECT c_mktsegment AS name, count(*) AS n, 0 AS on_disk, 0 AS in_memory FROM customer GROUP BY c_mktsegment""",
+    # The partition of eight to which Spark's hash deals each line number; the others stay empty.
+    "partition_skew_profile": """
+WITH sizes AS (
+  SELECT CASE l_linenumber WHEN 1 THEN 3 WHEN 2 THEN 6 WHEN 3 THEN 3 WHEN 4 THEN 6 WHEN 5 THEN 2 WHEN 6 THEN 1 ELSE 3 END
+           AS part, count(*) AS n
+  FROM lineitem GROUP BY part
+)
+SELECT CAST(8 AS BIGINT) AS n_partitions, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS min_rows, max(n) AS max_rows,
+       round(max(n) / (sum(n) / 8), 6) AS skew
+FROM sizes""",
     "key_skew_profile": """
 SELECT user_id, count(*) AS n_rows, round(count(*) / (SELECT count(*) FROM events), 6) AS share
 FROM events GROUP BY user_id ORDER BY n_rows DESC, user_id LIMIT 20""",
@@ -364,7 +397,7 @@ FROM events GROUP BY user_id ORDER BY n_rows DESC, user_id LIMIT 20""",
 SELECT {_ORDER_FIELDS}, CAST(year(o_orderdate) AS INTEGER) AS o_year, CAST(month(o_orderdate) AS INTEGER) AS o_month
 FROM orders""",
     "write_dynamic_overwrite": """
-SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate,
        CASE WHEN year(o_orderdate) >= 1998 THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice, o_orderpriority,
        CAST(year(o_orderdate) AS INTEGER) AS o_year, CAST(month(o_orderdate) AS INTEGER) AS o_month
 FROM orders""",
@@ -378,14 +411,44 @@ SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOU
 FROM transformed""",
     "sales_pipeline": f"""{_TRANSFORMED}
 SELECT region, order_year, order_month, CAST(sum(revenue) AS DOUBLE) AS sum_revenue,
-       CAST(max(revenue) AS DOUBLE) AS max_revenue, CAST(sum(quantity) AS BIGINT) AS sum_quantity,
-       count(order_id) AS count_order_id
+       {_mean('sum(revenue)', 'count(*)')} AS avg_revenue, CAST(max(revenue) AS DOUBLE) AS max_revenue,
+       CAST(sum(quantity) AS BIGINT) AS sum_quantity, count(order_id) AS count_order_id
 FROM transformed GROUP BY region, order_year, order_month""",
     "sales_pipeline_windowed": f"""{_TRANSFORMED}
-SELECT order_id, region, order_date, CAST(revenue AS DOUBLE) AS revenue,
+SELECT {_DOUBLE_MONEY},
        row_number() OVER ({_RANKED_ORDERS}) AS row_num,
        rank() OVER (PARTITION BY region ORDER BY order_date DESC) AS rank,
        dense_rank() OVER (PARTITION BY region ORDER BY order_date DESC) AS dense_rank,
+       CAST(lag(revenue, 1) OVER ({_RANKED_ORDERS}) AS DOUBLE) AS lag_revenue,
+       CAST(lead(revenue, 1) OVER ({_RANKED_ORDERS}) AS DOUBLE) AS lead_revenue,
        CAST(sum(revenue) OVER ({_RISING_ORDERS}) AS DOUBLE) AS running_total
+FROM transformed""",
+    "sales_pipeline_transformed": f"{_TRANSFORMED}\nSELECT {_DOUBLE_MONEY} FROM transformed",
+    "sales_pipeline_top_products": f"""{_TRANSFORMED},
+totals AS (SELECT region, sum(revenue) AS total_revenue FROM transformed GROUP BY region)
+SELECT region, product, CAST(product_revenue AS DOUBLE) AS product_revenue, product_orders,
+       CAST(total_revenue AS DOUBLE) AS total_revenue,
+       round(product_revenue / nullif(total_revenue, 0) * 100, 2) AS revenue_share_pct, product_rank
+FROM (
+  SELECT region, product, sum(revenue) AS product_revenue, count(order_id) AS product_orders,
+         dense_rank() OVER (PARTITION BY region ORDER BY sum(revenue) DESC) AS product_rank
+  FROM transformed GROUP BY region, product
+) JOIN totals USING (region)
+WHERE product_rank <= 5""",
+    "sales_pipeline_high_value_customers": f"""{_TRANSFORMED}
+SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS total_spend, count(order_id) AS num_orders,
+       (SELECT {_mean('sum(revenue)', 'count(*)')} FROM transformed) AS avg_order_overall
+FROM transformed GROUP BY customer_id HAVING sum(revenue) > (SELECT avg(revenue) FROM transformed)""",
+    "sales_pipeline_rolling_revenue": f"""{_TRANSFORMED},
+monthly AS (
+  SELECT region, order_year, order_month, sum(revenue) AS monthly_revenue
+  FROM transformed GROUP BY region, order_year, order_month
+)
+SELECT region, order_year, order_month, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue,
+       {_mean('sum(monthly_revenue) OVER w', 'count(*) OVER w')} AS rolling_3m_avg_revenue
+FROM monthly
+WINDOW w AS (PARTITION BY region ORDER BY order_year, order_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+    "sales_pipeline_stats": f"""{_TRANSFORMED}
+SELECT {_summary('revenue', True)}, {_summary('quantity', False)}, {_summary('unit_price', True)}, 1 AS percentiles_in_order
 FROM transformed""",
 }

@@ -26,13 +26,11 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders, customers, nations, regions, parts = (
         table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation", "region", "part")
     )
-    joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    )
+    # Dimensions first: the lines, by far the largest, are shuffled for orders and for parts only.
+    buyers = regions.join(nations, F.col("n_regionkey") == F.col("r_regionkey"))
+    buyers = buyers.join(customers, F.col("c_nationkey") == F.col("n_nationkey"))
+    bought = buyers.join(orders, F.col("o_custkey") == F.col("c_custkey"))
+    joined = bought.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     method = F.coalesce(
         *[F.when(F.col("o_orderpriority") == level, name) for level, name in _PAYMENT.items()], F.lit(_PAYMENT_DEFAULT)
     )
