@@ -1,0 +1,99 @@
+"""The corpus pipeline against brute force, stage by stage, and its agreement with run()."""
+
+import itertools
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+from brute import LOWER, components, corpus, shingles, table, words
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tableops.llm.language_id import identify_languages
+
+SPACE = " \t\n\x0b\x0c\r"
+LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def without_lines(rows):
+    def key(line):
+        return line.strip(SPACE).translate(LOWER)
+
+    holder = {}
+    for i, t in rows:
+        for line in t.split("\n"):
+            holder[key(line)] = min(holder.get(key(line), i), i)
+    return [(i, "\n".join(x for x in t.split("\n") if len(key(x)) < 10 or holder[key(x)] == i)) for i, t in rows]
+
+
+def one_of_each(rows):
+    sets = {i: shingles(t, 5) for i, t in rows}
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sets, 2)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    root = components(sets, links)
+    return [(i, t) for i, t in rows if root[i] == i]
+
+
+def without_passages(rows, least=50):
+    first, out = {}, []
+    for i, t in sorted(rows):
+        w = words(t)
+        for s in range(len(w) - least + 1):
+            first.setdefault(tuple(w[s : s + least]), (i, s))
+    for i, t in rows:
+        w, gone = words(t), set()
+        for s in range(len(w) - least + 1):
+            if first[tuple(w[s : s + least])] != (i, s):
+                gone |= set(range(s, s + least))
+        out.append((i, [x for n, x in enumerate(w) if n not in gone]))
+    return out
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("corpus"))
+    rows = [(i, t, "en", f"site{i % 3}") for i, t in corpus(11, 120)] + [(5000, "123 456 --- 789", "en", "site1")]
+    table(spark, rows).write.parquet(f"{out}/documents.parquet")
+    return out
+
+
+def test_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    judged = {r.doc_id for r in identify_languages(docs).where("kept").collect()}
+    stage = dict(corpus_pipeline.STAGES)
+
+    kept = stage["language_id"](spark, docs, folder)
+    rows = sorted((r.doc_id, r.text) for r in kept.collect())
+    assert kept.columns == columns and {i for i, _ in rows} == judged and 5000 not in judged and len(judged) > 100
+
+    lines = stage["line_dedup"](spark, kept, folder)
+    want = without_lines(rows)
+    assert lines.columns == columns and sorted((r.doc_id, r.text) for r in lines.collect()) == want
+    assert all(r.n_chars == len(r.text) for r in lines.collect())
+
+    near = stage["ngram_jaccard_join"](spark, lines, folder)
+    want = one_of_each(want)
+    assert near.columns == columns and sorted((r.doc_id, r.text) for r in near.collect()) == want
+
+    whole = stage["suffix_array_dedup"](spark, near, folder)
+    assert whole.columns == columns
+    left = sorted((r.doc_id, r.text) for r in whole.collect())
+    assert [(i, words(t)) for i, t in left] == without_passages(want)
+
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    lengths, sequences = defaultdict(int), defaultdict(list)
+    for r in pieces:
+        lengths[r.doc_id] += r.length
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert dict(lengths) == {i: len(LIBRARY.encode(t, add_special_tokens=False).ids) + 1 for i, t in left}
+    for parts in sequences.values():
+        assert sum(n for _, n in parts) == max(o + n for o, n in parts) <= 2048
+
+
+def test_empty(spark, tmp_path):
+    table(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
