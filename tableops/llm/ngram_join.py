@@ -32,7 +32,7 @@ from tableops.llm.sketch import Shape, count_min
 from tableops.llm.words import batch_words, gram_hashes, mix, signed, text_grams
 from tableops.scratch import Tables
 
-WORDS, SHINGLES = Shape(20, 2), Shape(22, 1)
+WORDS, SHINGLES = Shape(21, 2), Shape(21, 1)
 MAX_MATCHES = 8  # longest prefix extension that is considered
 CHECK_COST = 1 / 16  # cost of verifying a candidate, per shingle of the document, in postings read
 _SETS = "doc_id long, n long, d1 long, d2 long, need int, prefix array<long>, place array<int>, bits array<long>"
@@ -155,8 +155,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         member = sets.select("doc_id", "n", "d1", "d2").distinct().join(classes, ["d1", "d2", "n"])
         member = tables.put(member.select("doc_id", "rep", "n"), "member")
 
-        reps = member.where("doc_id = rep").select("doc_id", "n").distinct()
-        entries = sets.join(reps, ["doc_id", "n"], "left_semi")
+        reps = tables.put(member.where("doc_id = rep").select("doc_id", "n").distinct(), "reps")
+        entries = sets.join(broadcast_if_small(reps), ["doc_id", "n"], "left_semi")
         entries = entries.select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "need", F.inline(F.arrays_zip("prefix", "place")))
         entries = entries.withColumnRenamed("prefix", "token")
         holders = entries.groupBy("token").agg(F.count("*").alias("holders"), F.min_by("id", "place").alias("pivot")).where("holders > 1")
