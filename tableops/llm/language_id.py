@@ -61,15 +61,21 @@ def fit(docs: DataFrame, per_language: int, tables: Tables) -> tuple[list[str],
     Languages are the MAX_LANGUAGES most frequent declared values. The sample is bounded by per_language texts of each.
     """
     known = docs.where("declared <> ''").groupBy(F.col("declared").alias("language")).count()
-    languages = sorted(r.language for r in known.orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect())
-    order = Window.partitionBy("declared").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = docs.where(F.col("declared").isin(languages)).select("doc_id", "declared")
+    counts = {r.language: r["count"] for r in known.orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect()}
+    languages = sorted(counts)
+    order = Window.partitionBy("declared").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
+    # About four times the sample is ranked, by the same hash, so that no task ranks all ids of a frequent language.
+    share = F.lit(0.0)
+    for language, count in counts.items():
+        share = F.when(F.col("declared") == language, min(1.0, (4 * per_language + 100) / count)).otherwise(share)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
+    chosen = docs.where(place < share).select("doc_id", "declared")
     chosen = tables.put(chosen.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n"), "chosen")
     sample = docs.select("doc_id", "text", F.col("declared").alias("language"))
     sample = sample.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").where("language <> ''")
     sample = sample.where(F.col("language").isin(languages)) if languages else sample.limit(0)
-    counts = sample.groupBy("language").applyInPandas(_count_language, "language string, counts binary").collect()
-    found = {r.language: np.frombuffer(r.counts, np.float32) for r in counts}
+    sums = sample.groupBy("language").applyInPandas(_count_language, "language string, counts binary").collect()
+    found = {r.language: np.frombuffer(r["counts"], np.float32) for r in sums}
     table = np.stack([*[found.get(x, np.zeros(BUCKETS)) + 0.05 for x in languages], np.ones(BUCKETS)])
     return languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
