@@ -8,6 +8,7 @@ loss-bearing tokens, until nothing fits. Groups have a bounded size and leave on
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -23,48 +24,61 @@ from tableops.llm.common import id_and_text, outer_id
 from tableops.scratch import Tables
 
 GROUP_PIECES = 4096
+_CACHE_SIZE, _CACHE_CHARS = 1 << 19, 40  # words per generation, of which a Python worker has two: 230 MB at most
+# Fixed value: the pattern of the byte-level vocabulary, as its library splits texts.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PIECES = 4096
 _CACHE_SIZE, _CACHE_CHARS, _BATCH = 1 << 18, 40, 64
 _PIECES = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long, loss long"
 _PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def byte_letters() -> dict[str, int]:
+    """The byte behind each letter of a byte-level vocabulary: printable bytes stand for themselves, others follow 255."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class ByteBpe:
     """Ids of a byte-level BPE vocabulary file, as little-endian 32-bit bytes.
 
-    The vocabulary's pattern never lets a token reach across a single space into the word before it, so a text is looked up
-    word by word; words that are not in the cache, and texts with runs of spaces, go to the library.
+    The pattern never lets a token reach across a single space into the word before it, so a text is looked up word by word;
+    words that are not in the cache, and texts with runs of spaces, are encoded whole. Ids of such a vocabulary are the ranks
+    of its merges, which lets the faster of two libraries do it; special tokens inside a text keep their ids.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        letters, split = byte_letters(), content["pre_tokenizer"]
+        if content["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+            raise ValueError(f"{path} is no plain byte-level vocabulary")
+        self.special = {token["content"]: token["id"] for token in content["added_tokens"]}
+        ranks = {bytes(letters[c] for c in t): i for t, i in content["model"]["vocab"].items() if t not in self.special}
+        self.library = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+        self.words: dict[str, bytes] = {}  # ids of a word after one space
+        self.older = self.words
 
     def _ids(self, text: str) -> bytes:
-        ids = array("I", self.library.encode(text, add_special_tokens=False).ids)
-        return ids.tobytes()
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The words that the cache lacks are encoded in one call."""
-        new = list(dict.fromkeys(w for w in words if w not in self.cache))
-        if len(self.cache) + len(new) > _CACHE_SIZE:
-            self.cache.clear()
-            new = list(dict.fromkeys(words))
-        made = {w: array("I", e.ids).tobytes() for w, e in zip(new, self.library.encode_batch(new, add_special_tokens=False))}
-        self.cache.update((w, ids) for w, ids in made.items() if len(w) <= _CACHE_CHARS)
-        get = self.cache.get
-        return [get(w) or made[w] for w in words]
+        return array("I", self.library.encode(text, allowed_special="all")).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        ids = self.older.get(word) or array("I", self.library.encode_ordinary(" " + word)).tobytes()
+        if len(word) <= _CACHE_CHARS:
+            if len(self.words) >= _CACHE_SIZE:
+                self.older, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if "  " in text or text[-1] == " " or any(s in text for s in self.special):
+        if "  " in text or text[-1:] == " " or any(s in text for s in self.special):
             return self._ids(text)
         first, *rest = text.split(" ")
-        words = [" " + w for w in rest]
-        return b"".join(self._words([first, *words] if first else words))
+        get, make = self.words.get, self._word
+        return b"".join([self._ids(first), *[get(w) or make(w) for w in rest]])
 
 
 @lru_cache(2)
