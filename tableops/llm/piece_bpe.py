@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from tableops.llm.common import id_and_text
 
 SPACE = "▁"  # fixed value: the library's mark for a space
-_CACHE_SIZE, _CACHE_CHARS = 1 << 17, 48  # per Python worker; two generations of chunks
+_CACHE_SIZE, _CACHE_CHARS = 1 << 19, 40  # words per generation, of which a Python worker has two: 260 MB at most
 
 
 def _one_mark_per_byte(error: UnicodeError) -> tuple[str, int]:
@@ -43,7 +43,7 @@ class PieceBpe:
         self.byte_ids = [0] * 256
         self.ids: dict[str, int] = {}
         self.rank: dict[str, float] = {}  # lower merges first
-        self.decoded = [""] * size
+        self.decoded, self.control = [""] * size, set()
         for i in range(size):
             piece = library.id_to_piece(i)
             if library.is_byte(i):
@@ -52,7 +52,9 @@ class PieceBpe:
                 self.decoded[i] = chr(value) if value < 0x80 else chr(0xDC00 + value)
             elif library.is_unknown(i):
                 self.decoded[i] = " ⁇ "
-            elif not library.is_control(i):
+            elif library.is_control(i):
+                self.control.add(i)
+            else:
                 self.ids[piece], self.rank[piece] = i, -library.get_score(i)
                 self.decoded[i] = piece.replace(SPACE, " ")
         self.spaced = {i for piece, i in self.ids.items() if piece.startswith(SPACE)}
@@ -65,9 +67,11 @@ class PieceBpe:
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if n == 1 or p[:n] in usable), None) for p in usable}
-        self.fits = lru_cache(2 * _CACHE_SIZE)(self._fits)
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older = self.cache
+        self.fits = lru_cache(1 << 18)(self._fits)
+        self.atom = lru_cache(1 << 16)(self._atom)
+        self.words: dict[str, tuple[int, ...]] = {}  # ids of a word after one space
+        self.older = self.words
+        self.digits = [str(i) for i in range(size)]
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging: the neighbours with the best piece first, the leftmost of equals. For short texts."""
@@ -118,61 +122,64 @@ class PieceBpe:
             return [self.ids[piece]]
         return [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
 
-    def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a chunk, also as decimal text; chunk is cut further where no piece can reach across."""
-        found = self.cache.get(chunk) or self.older.get(chunk)
-        if found is None:
-            cuts = () if chunk.isalpha() or chunk[1:].isalpha() else self._cuts(chunk)
+    def _atom(self, text: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self._spell, self.backtrack(text))))
+
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        """Ids of a chunk, which is cut further where no piece can reach across."""
+        if not chunk[1:].isalpha():
+            cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.neighbours]
             if cuts:
                 bounds = [0, *cuts, len(chunk)]
-                ids = tuple(chain.from_iterable(self._chunk(chunk[a:b])[0] for a, b in zip(bounds, bounds[1:])))
-            else:
-                ids = tuple(chain.from_iterable(map(self._spell, self.backtrack(chunk))))
-            found = ids, " ".join(map(str, ids))
-        if len(chunk) <= _CACHE_CHARS:
-            if len(self.cache) >= _CACHE_SIZE:
-                self.older, self.cache = self.cache, {}
-            self.cache[chunk] = found
-        return found
-
-    def _cuts(self, chunk: str) -> list[int]:
-        return [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.neighbours]
-
-    def _chunks(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+                return tuple(chain.from_iterable([self.atom(chunk[a:b]) for a, b in zip(bounds, bounds[1:])]))
+        return self._atom(chunk)
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        ids = self.older.get(word) or self._chunk(SPACE + word)
+        if len(word) <= _CACHE_CHARS:
+            if len(self.words) >= _CACHE_SIZE:
+                self.older, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
+
+    def _chunks(self, text: str) -> list[tuple[int, ...]]:
         text = text.replace(SPACE, " ")
         if not text:
             return []
         if not self.cut_at_spaces:
             return [self._chunk(SPACE + text.replace(" ", SPACE))]
         words = text.split(" ")
-        if "" in words:  # runs of spaces stay together, before the word that follows them
-            joined, spaces = [], ""
-            for word in words[:-1]:
-                spaces += SPACE
-                if word:
-                    joined.append(spaces + word)
-                    spaces = ""
-            chunks = [*joined, spaces + SPACE + words[-1]]
-        else:
-            chunks = [SPACE + word for word in words]
-        get, make = self.cache.get, self._chunk
-        return [get(c) or make(c) for c in chunks]
+        get, make = self.words.get, self._word
+        if "" not in words:
+            return [get(w) or make(w) for w in words]
+        ids, spaces = [], SPACE  # runs of spaces stay together, before the word that follows them
+        for word in words[:-1]:
+            if word:
+                ids.append(get(word) or make(word) if spaces == SPACE else self._chunk(spaces + word))
+                spaces = ""
+            spaces += SPACE
+        return [*ids, self._chunk(spaces + words[-1])]
 
     def encode(self, text: str) -> list[int]:
         """The library's ids with the end id and without sampling."""
-        return [*chain.from_iterable(ids for ids, _ in self._chunks(text)), self.end]
+        return [*chain.from_iterable(self._chunks(text)), self.end]
 
     def encode_with_digits(self, text: str) -> tuple[list[int], str]:
         """encode(text), and its ids in decimal joined by spaces."""
-        parts = self._chunks(text)
-        ids = [*chain.from_iterable([p[0] for p in parts]), self.end]
-        return ids, " ".join([*[p[1] for p in parts], str(self.end)])
+        ids, digits = self.encode(text), self.digits
+        return ids, " ".join([digits[i] for i in ids])
 
     def decode(self, ids: Sequence[int]) -> str:
         """Text of any ids: control pieces are silent, the space of a leading piece goes, broken bytes give U+FFFD each."""
         text = "".join(map(self.decoded.__getitem__, ids))
-        if not text.isascii():
-            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "tableops-one-mark-per-byte")
+        try:
+            text.isascii() or text.encode()
+        except UnicodeEncodeError:  # bytes to be joined to characters, though not across a control piece
+            runs = [[]]
+            for i in ids:
+                runs.append([]) if i in self.control else runs[-1].append(self.decoded[i])
+            encoded = ["".join(run).encode("utf-8", "surrogateescape") for run in runs]
+            text = "".join(run.decode("utf-8", "tableops-one-mark-per-byte") for run in encoded)
         first = next((i for i in ids if self.decoded[i]), None)
         return text[1:] if first in self.spaced else text
 
