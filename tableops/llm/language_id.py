@@ -23,7 +23,6 @@ from tableops.llm.words import buffers, slices
 from tableops.scratch import Tables
 
 BUCKETS = 1 << 14
-MAX_LANGUAGES = 64
 EVIDENCE_GRAMS = 200.0  # neighbouring trigrams repeat each other: a text counts as this many at most
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 10.0, 100.0, 1.0  # prior observations of the level above
 
@@ -58,25 +57,22 @@ def _count_language(rows: pd.DataFrame) -> pd.DataFrame:
 def fit(docs: DataFrame, per_language: int, tables: Tables) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities by bucket, the unknown language last; docs has doc_id, text, declared.
 
-    Languages are the MAX_LANGUAGES most frequent declared values. The sample is bounded by per_language texts of each.
+    Languages are all declared values with a trigram of text. The sample is bounded by per_language texts of each.
     """
-    known = docs.where("declared <> ''").groupBy(F.col("declared").alias("language")).count()
-    counts = {r.language: r["count"] for r in known.orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect()}
-    languages = sorted(counts)
+    known = docs.where("declared <> ''").groupBy("declared").agg(F.count("*").alias("documents"))
+    known = broadcast_if_small(tables.put(known, "known"))
     order = Window.partitionBy("declared").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
     # About four times the sample is ranked, by the same hash, so that no task ranks all ids of a frequent language.
-    share = F.lit(0.0)
-    for language, count in counts.items():
-        share = F.when(F.col("declared") == language, min(1.0, (4 * per_language + 100) / count)).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    chosen = docs.where(place < share).select("doc_id", "declared")
-    chosen = tables.put(chosen.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n"), "chosen")
+    chosen = docs.select("doc_id", "declared").join(known, "declared").where(place < (4 * per_language + 100) / F.col("documents"))
+    chosen = chosen.select("doc_id", "declared").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n")
+    chosen = broadcast_if_small(tables.put(tables.put(chosen, "chosen").select("doc_id").distinct(), "chosen_ids"))
     sample = docs.select("doc_id", "text", F.col("declared").alias("language"))
-    sample = sample.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").where("language <> ''")
-    sample = sample.where(F.col("language").isin(languages)) if languages else sample.limit(0)
+    sample = sample.join(chosen, "doc_id", "left_semi").where("language <> ''")
     sums = sample.groupBy("language").applyInPandas(_count_language, "language string, counts binary").collect()
     found = {r.language: np.frombuffer(r["counts"], np.float32) for r in sums}
-    table = np.stack([*[found.get(x, np.zeros(BUCKETS)) + 0.05 for x in languages], np.ones(BUCKETS)])
+    languages = sorted(x for x, counts in found.items() if counts.any())
+    table = np.stack([*[found[x] + 0.05 for x in languages], np.ones(BUCKETS)])
     return languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -131,6 +127,12 @@ def _fuse(
     return run
 
 
+def primary_language(declared: Column) -> Column:
+    """Primary subtag of a language tag in lower case (en of EN or en_US); whole for x- and i- tags, empty for null."""
+    tag = F.lower(F.trim(F.coalesce(declared.cast("string"), F.lit(""))))
+    return F.regexp_replace(tag, "^([^-_]{2,})[-_].*$", "$1")
+
+
 def row_key(declared: str, address: str) -> Column:
     """Hash that tells apart rows that share an id."""
     return F.xxhash64(inner_id(), F.coalesce("text", F.lit("")), F.col(declared).cast("string"), F.col(address).cast("string"))
@@ -141,13 +143,14 @@ def identify_languages(
 ) -> DataFrame:
     """(doc_id, row_key, language, posterior, kept) of every row of docs (doc_id, text, declared, address); runs jobs.
 
+    Declarations count by their primary subtag, and every declared language has a model (64 KB in the driver and each task).
     language is the most probable one, null where it is unknown; posterior is its probability. A document is rejected
     (kept is false) if it has no letters, if unknown is most probable, or if the posterior is below ``least``. Null or
     empty text has no letters. Null declarations and addresses are one value of their own, empty. Rows are judged one by one,
     repeated ones alike; row_key is the hash of doc_id, text, declared and address. A null doc_id comes back as null. Without
     any declared language all are unknown. An empty table gives an empty result; other columns are ignored.
     """
-    text, said = F.coalesce("text", F.lit("")), F.coalesce(F.col(declared).cast("string"), F.lit(""))
+    text, said = F.coalesce("text", F.lit("")), primary_language(F.col(declared))
     host = site_host(F.col(address))
     docs = docs.select(
         inner_id().alias("doc_id"),

@@ -1,11 +1,13 @@
 """Language identification and quality: held-out accuracy, shrinkage, and awkward rows."""
 
+import random
+
 import pytest
 from brute import table
 from pyspark.sql import functions as F
 
 from tableops.llm.common import site_host, site_suffix
-from tableops.llm.language_id import identify_languages
+from tableops.llm.language_id import identify_languages, primary_language
 from tableops.llm.quality import classify_quality
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -79,3 +81,21 @@ def test_quality_edges(spark):
     assert sorted((r.doc_id or 0) for r in got) == [0, 1, 2, 2, 3, 4] and all(0 <= r.probability <= 1 for r in got)
     assert classify_quality(table(spark, []), labels).collect() == []
     assert {r.evidence for r in classify_quality(table(spark, rows), labels.limit(0)).collect()} == {0.0}
+
+
+def test_seventy_languages_and_variant_tags(spark):
+    r = random.Random(4)
+    rows = []
+    for k in range(70):
+        lexicon = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(15)]
+        name = f"{chr(97 + k // 26)}{chr(97 + k % 26)}"
+        for d in range(6):
+            tag = [name, name.upper(), f"{name}-US", f"{name}_us", f" {name}-Latn-x", name][d] if k % 2 else name
+            rows.append((len(rows), " ".join(r.choice(lexicon) for _ in range(60)), tag, "web", name))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, truth string")
+    got = {x.doc_id: x for x in identify_languages(df).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].language == truth and got[i].kept and got[i].posterior > 0.9 for i, _, _, _, truth in rows)
+    tags = [("x-klingon",), ("EN",), (None,), ("zh_Hant-TW",)]
+    found = spark.createDataFrame(tags, "t string").select(primary_language(F.col("t"))).collect()
+    assert [x[0] for x in found] == ["x-klingon", "en", "", "zh"]
