@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tableops.llm.chaining import fuzzy_passages
 from tableops.llm.common import documents, outer_id
 from tableops.llm.exact_dedup import exact_duplicates
+from tableops.llm.filter_audit import audit_documents
 from tableops.llm.language_id import identify_languages
 from tableops.llm.line_dedup import deduplicate_lines
 from tableops.llm.ngram_join import jaccard_components
@@ -68,6 +69,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_passages(documents(spark, sf_dir), min_words=50, percent=80)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -109,4 +115,52 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op13_filter_audit": r"""
+        WITH marks AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id
+        ), texts AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), cells AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS cell
+            FROM texts LEFT JOIN marks USING (doc_id)
+        ), counts AS (
+            SELECT part, cell, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM cells GROUP BY part, cell
+        ), states AS (
+            SELECT part, active, coalesce(sum(n) FILTER (cell & active = 0), 0) AS n,
+                   coalesce(sum(good) FILTER (cell & active = 0), 0) AS good,
+                   coalesce(sum(toxic) FILTER (cell & active = 0), 0) AS toxic
+            FROM counts CROSS JOIN (SELECT unnest(range(32)) AS active) GROUP BY part, active
+        ), letters AS (
+            SELECT unnest(range(5)) AS i, substr('ABCDE', i + 1, 1) AS f, CAST(1 AS BIGINT) << i AS bit
+        ), orders AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+        ), steps AS (
+            SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1:step - 1]) AS before
+            FROM orders CROSS JOIN (SELECT unnest(range(1, 6)) AS step)
+        ), gone AS (
+            SELECT x.part, filter_order, step, bit, y.n AS kept, x.n - y.n AS removed, x.good - y.good AS good_lost,
+                   x.toxic - y.toxic AS toxic_lost
+            FROM steps JOIN states x ON x.active = coalesce(before, 0)
+            JOIN states y ON y.part = x.part AND y.active = coalesce(before, 0) | bit
+        ), each AS (
+            SELECT part, bit, coalesce(sum(n) FILTER (cell & bit > 0), 0) AS fails,
+                   coalesce(sum(n) FILTER (cell = bit), 0) AS unique_fails
+            FROM counts CROSS JOIN letters GROUP BY part, bit
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(fails - removed AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM gone JOIN each USING (part, bit)
+    """,
 }
