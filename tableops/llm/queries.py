@@ -11,6 +11,8 @@ from tableops.llm.common import documents, outer_id
 from tableops.llm.exact_dedup import exact_duplicates
 from tableops.llm.filter_audit import audit_documents
 from tableops.llm.language_id import identify_languages
+from tableops.llm.lexical_search import search
+from tableops.llm.license_scan import scan_notices
 from tableops.llm.line_dedup import deduplicate_lines
 from tableops.llm.ngram_join import jaccard_components
 from tableops.llm.packing import pack_documents
@@ -69,6 +71,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_passages(documents(spark, sf_dir), min_words=50, percent=80)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=10)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_notices(documents(spark, sf_dir))
+    joined = {name: F.concat_ws(",", name) for name in ("base_labels", "labels")}
+    return found.withColumns(joined).drop("spans")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -84,6 +96,8 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash": op9_simhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_license_scan": op12_license_scan,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -115,6 +129,38 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op11_lexical_search": r"""
+        WITH asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), counts AS (
+            SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+        ), lengths AS (
+            SELECT doc_id, CAST(sum(tf) AS BIGINT) AS length FROM counts GROUP BY doc_id
+        ), totals AS (
+            SELECT count(*) AS docs, CAST(sum(length) AS BIGINT) AS terms FROM lengths
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts CROSS JOIN totals WHERE term IN (SELECT term FROM asked) GROUP BY term
+        ), scores AS (
+            SELECT item_id, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * length * docs) // terms)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (doc_id) CROSS JOIN totals
+            GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 10
+    """,
     "op13_filter_audit": r"""
         WITH marks AS (
             SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic

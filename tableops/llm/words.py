@@ -18,9 +18,11 @@ _BYTE_BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
-_LOWER_CODES = _LOWER.astype(np.uint64) + np.uint64(1)
+SYMBOLS = np.ones(256, bool)  # all bytes but 0-9, A-Z, a-z and those of characters beyond ASCII
+SYMBOLS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+_LOWER_CODES = LOWER.astype(np.uint64) + np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,9 +85,12 @@ def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         row = stop
 
 
-def split_words(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the first word of each text; begin: where texts begin, and the end of the last."""
-    inside = ~_SPACE[data]
+def split_words(data: np.ndarray, begin: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and the first word of each text; begin: where texts begin, and the end of the last.
+
+    ``space`` tells for each of 256 byte values whether it parts words.
+    """
+    inside = ~space[data]
     start, end = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
     end[:-1] &= ~inside[1:]
@@ -96,13 +101,13 @@ def split_words(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nda
     return start, end, np.searchsorted(start, begin)
 
 
-def batch_words(column: pa.Array) -> Iterator[Words]:
-    """Words of a text column, slice by slice."""
+def batch_words(column: pa.Array, space: np.ndarray = _SPACE) -> Iterator[Words]:
+    """Words of a text column, slice by slice; ``space`` as in split_words."""
     data, offsets = buffers(column)
     for low, high in slices(offsets):
         begin = offsets[low : high + 1] - offsets[low]
         part = data[offsets[low] : offsets[high]]
-        start, end, first = split_words(part, begin)
+        start, end, first = split_words(part, begin, space)
         up, down = _BYTES.upto(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_LOWER_CODES[part] * up[: len(part)], out=sums[1:])

@@ -1,0 +1,105 @@
+"""Ranked search against scoring every document for every item."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from brute import corpus, table
+
+from tableops.llm import lexical_search
+from tableops.llm.lexical_search import ImpactLists, Vocabulary, search
+from tableops.llm.words import SYMBOLS, batch_words
+
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def brute(rows, items, top):
+    counts = [(i if i is not None else math.inf, Counter(terms(t))) for i, t in rows if terms(t)]
+    n_docs, n_terms = len(counts), sum(c.total() for _, c in counts)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(terms(t))
+    found = set()
+    for item, wanted in asked.items():
+        weights = {}
+        for t in wanted:
+            df = sum(t in c for _, c in counts)
+            weights[t] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+        scores = []
+        for i, c in counts:
+            m = 100 - 90 + 90 * c.total() * n_docs // n_terms
+            score = sum(weights[t] * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m)) for t in wanted if t in c)
+            if score > 0:
+                scores.append((-score, i))
+        for rank, (score, i) in enumerate(sorted(scores)[:top], 1):
+            found.add((item, rank, None if i == math.inf else i, -score))
+    return found
+
+
+def check(spark, rows, items, top=10):
+    docs = table(spark, rows).selectExpr("*", "1 AS n", "'x' AS terms", "2 AS item_id")
+    asked = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "7 AS doc_id", "8 AS score")
+    found = [tuple(r) for r in search(docs, asked, top).select("item_id", "rank", "doc_id", "score").collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == brute(rows, items, top)
+    return found
+
+
+ITEMS = [(1, "w1 W2 w3 w300 w4"), (2, "Ünder the naïve é 日本"), (3, None), (4, ""), (5, "..."), (6, "absent"), (7, "w7"), (7, "w8 w9"), (None, "w5 w6"), (8, "the the THE")]
+
+
+def test_search(spark):
+    rows = corpus(8, 200) + [(None, "w1 w2"), (None, "w1 w2"), (5, "w7 w8"), (5, "w7 w8 w9"), (4000, "w1 w2 " * 50_000), (4001, "w9," * 3)]
+    assert len(check(spark, rows, ITEMS)) > 30
+    check(spark, rows, ITEMS, top=1)
+    check(spark, rows, ITEMS, top=10_000)
+
+
+def test_empty(spark):
+    check(spark, [], ITEMS)
+    check(spark, [(1, "a b")], [])
+    check(spark, [(1, None), (2, "")], ITEMS)
+    assert [r[1:3] for r in sorted(check(spark, [(1, "one two"), (2, "one")], [(1, "one")]))] == [(1, 2), (2, 1)]
+
+
+@pytest.mark.parametrize("name, value", [("BLOCK_POSTINGS", 500), ("CELLS", 300), ("GROUP_TERMS", 3), ("ITEMS_PER_RUN", 3), ("FIRST_READ", 1)])
+def test_blocks(spark, monkeypatch, name, value):
+    monkeypatch.setattr(lexical_search, name, value)
+    check(spark, corpus(9, 80), ITEMS)
+
+
+def test_best_positions():
+    r = np.random.default_rng(5)
+    docs, terms_ = 3000, 12
+    doc, term = np.nonzero(r.random((docs, terms_)) < 0.3)
+    impact = (1000 / (1 + r.pareto(1.0, len(doc)) * 50)).astype(np.int64) + r.integers(0, 3, len(doc)) * 5000 * (doc < 40)
+    lists = ImpactLists(docs, terms_, doc, term, impact)
+    for wanted in ([0, 1, 2], [3], list(range(12))):
+        wanted = np.array(wanted)
+        full = np.bincount(doc, impact * np.isin(term, wanted), docs).astype(np.int64)
+        order = np.lexsort((np.arange(docs), -full))
+        for top, floor in ((10, 1), (3, 1), (10, int(full[order[4]])), (docs, 1)):
+            best = order[:top][full[order[:top]] >= floor]
+            got, scores, seen = lists.best(wanted, top, floor)
+            assert got.tolist() == best.tolist() and scores.tolist() == full[best].tolist()
+            if top == 10:
+                assert seen < docs / 2  # stops early
+    ties = ImpactLists(50, 1, np.arange(50), np.zeros(50, np.int64), np.full(50, 7))
+    assert ties.best(np.array([0]), 3)[0].tolist() == [0, 1, 2]  # equal to the last one: not strictly below, so read on
+
+
+def test_vocabulary():
+    vocabulary, number = Vocabulary.of(["one", "日本", "x1"])
+    import pyarrow as pa
+
+    texts = pa.array(["One tw0 日本,X1", None, "", "ones"])
+    for words in batch_words(texts, SYMBOLS):
+        data = np.frombuffer("One tw0 日本,X1ones".encode(), np.uint8)
+        found = vocabulary.find(words.hash, data, words.start, words.end)
+        assert found.tolist() == [number["one"], -1, number["日本"], number["x1"], -1]
