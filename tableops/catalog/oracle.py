@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tableops.catalog import timed
+
 _RAW = """
 raw_sales AS (
   SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS order_id,
@@ -452,3 +454,5 @@ WINDOW w AS (PARTITION BY region ORDER BY order_year, order_month ROWS BETWEEN 2
 SELECT {_summary('revenue', True)}, {_summary('quantity', False)}, {_summary('unit_price', True)}, 1 AS percentiles_in_order
 FROM transformed""",
 }
+
+ORACLE_SQL |= {name: sql if isinstance(sql, str) else _with_sales(sql[1]) for name, sql in timed.ORACLE_SQL.items()}
