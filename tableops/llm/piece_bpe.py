@@ -66,6 +66,7 @@ class PieceBpe:
         for piece in usable:
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
+        self.width = max(map(len, usable), default=1)
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if n == 1 or p[:n] in usable), None) for p in usable}
         self.fits = lru_cache(1 << 18)(self._fits)
         self.atom = lru_cache(1 << 16)(self._atom)
@@ -89,8 +90,9 @@ class PieceBpe:
         return self.merge(left + right) == [left, right]
 
     def _longest(self, text: str, at: int) -> str:
-        for end, piece in self.automaton.iter_long(text, at):
-            if end - len(piece) + 1 == at:
+        # Only as far as a piece can reach: the search copies the string that it is given.
+        for end, piece in self.automaton.iter_long(text[at : at + self.width]):
+            if end + 1 == len(piece):
                 return piece
             break
         return text[at]  # a character of its own, to be spelled in bytes if it is no piece
@@ -98,19 +100,20 @@ class PieceBpe:
     def backtrack(self, text: str) -> list[str]:
         """Pieces of a text by backtracking."""
         pieces: list[str] = []
-        at, open_positions, size = 0, (1 << (len(text) + 1)) - 1, len(text)
+        at, size = 0, len(text)
+        dead = bytearray(size // 8 + 1)  # bitfield of positions from which no way leads on
         piece = self._longest(text, 0) if text else ""
         while at < size:
             while True:
                 stop = at + len(piece)
-                if open_positions >> stop & 1 and (not pieces or self.fits(pieces[-1], piece)):
+                if not dead[stop >> 3] >> (stop & 7) & 1 and (not pieces or self.fits(pieces[-1], piece)):
                     pieces.append(piece)
                     at = stop
                     piece = self._longest(text, at) if at < size else ""
                     break
                 shorter = self.shorter.get(piece)
                 if shorter is None:  # nothing fits here: step back and never come here again
-                    open_positions &= ~(1 << at)
+                    dead[at >> 3] |= 1 << (at & 7)
                     piece = pieces.pop()
                     at -= len(piece)
                     break

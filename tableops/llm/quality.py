@@ -101,7 +101,11 @@ class Logistic:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int, tables: Tables) -> Logistic | None:
-    """The regression from at most max_labels labels (doc_id, quality); None without labels of both kinds."""
+    """The regression from at most max_labels labelled rows; None without labels of both kinds.
+
+    Labels (doc_id, quality) are taken in the order of their ids' hashes, and of the rows of docs that they join, where ids
+    repeat, again max_labels in the order of the texts' hashes: the same ones at every run.
+    """
     labels = labels.select(inner_id().alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     labels = labels.where("quality IN (0, 1)").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labels)
     labels = tables.put(labels, "labels")
@@ -111,8 +115,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int, tables: Tables) ->
             x = pa.array(list(features(batch.column("text"))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([x, batch.column("quality")], ["x", "quality"])
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("text", "quality")
-    rows = sample.mapInArrow(run, "x array<double>, quality int").limit(4 * max_labels).toPandas()
+    sample = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
+    if docs.select("doc_id").join(F.broadcast(labels), "doc_id").count() > max_labels:
+        sample = sample.orderBy(F.xxhash64("doc_id", "text"), "quality").limit(max_labels)
+    rows = sample.select("text", "quality").mapInArrow(run, "x array<double>, quality int").toPandas()
     if rows["quality"].nunique() < 2:
         return None
     return Logistic(np.stack(rows["x"]), rows["quality"].to_numpy(float))
