@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tableops.catalog import timed
+from tableops.catalog import streams, timed
 
 _RAW = """
 raw_sales AS (
@@ -181,14 +181,17 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN NOT {_BROKEN} THEN CAST(o
        CAST({_BROKEN} AS INTEGER) AS is_corrupt
 FROM orders""",
     "scan_csv_dropmalformed": f"{_ORDER_RECORDS} WHERE NOT {_BROKEN}",
-    "scan_csv_timestamps": "SELECT * EXCLUDE (props) REPLACE (date_trunc('second', ts) AS ts) FROM events",
+    "scan_csv_timestamps": _EVENT_RECORDS,
     "scan_json": _EVENT_RECORDS,
     "scan_json_inferred": _EVENT_RECORDS,
     "scan_json_multiline": _EVENT_RECORDS,
     "scan_json_permissive": """
-SELECT CASE WHEN event_type <> 'error' THEN event_type END AS event_type, CAST(event_type = 'error' AS INTEGER) AS is_corrupt,
-       count(*) AS n
-FROM events GROUP BY 1, 2""",
+SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props, NULL AS corrupt
+FROM events WHERE event_type <> 'error'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL,
+       substr('{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"', 1, 30)
+FROM events WHERE event_type = 'error'""",
     "scan_json_dropmalformed": f"{_EVENT_RECORDS} WHERE event_type <> 'error'",
     "scan_files": "SELECT * FROM part",
     "scan_dispatch": "SELECT * FROM supplier",
@@ -456,3 +459,4 @@ FROM transformed""",
 }
 
 ORACLE_SQL |= {name: sql if isinstance(sql, str) else _with_sales(sql[1]) for name, sql in timed.ORACLE_SQL.items()}
+ORACLE_SQL |= streams.ORACLE_SQL

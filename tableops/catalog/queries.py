@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableops.catalog import timed
+from tableops.catalog import streams, timed
 from tableops.catalog.tables import raw_sales, sales, table
 from tableops.operators import aggregates, dedup, joins, layout, ordering, quality, transforms, windows
 from tableops.plans import pipeline, reports
 from tableops.plans.views import Views, run_sql
-from tableops.scratch import Tables, scratch_path
+from tableops.scratch import Tables, scratch_path, stored
 from tableops.sinks import list_partitions, read_back, write_parquet
 from tableops.sources import scan, scan_csv, scan_files, scan_incremental, scan_json
 
@@ -86,7 +86,7 @@ def q_scan_csv_timestamps(spark, sf_dir):
     path = scratch_path(spark, "events_csv")
     stamped = events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     stamped.write.options(header=True, escape='"').csv(path)
-    return scan_csv(spark, path, T.StructType([f for f in EVENTS_SCHEMA if f.name != "props"])).drop("props")
+    return scan_csv(spark, path, EVENTS_SCHEMA, escape='"')
 
 
 def q_scan_csv_inferred(spark, sf_dir):
@@ -140,7 +140,7 @@ def q_scan_json_multiline(spark, sf_dir):
 def q_scan_json_permissive(spark, sf_dir):
     schema = T.StructType([*EVENTS_SCHEMA, T.StructField("_corrupt_record", T.StringType())])
     rows = scan_json(spark, _events_json(spark, sf_dir, broken=True), schema)
-    return rows.groupBy("event_type", F.col("_corrupt_record").isNotNull().cast("int").alias("is_corrupt")).agg(F.count("*").alias("n"))
+    return rows.withColumnRenamed("_corrupt_record", "corrupt")
 
 
 def q_scan_json_dropmalformed(spark, sf_dir):
@@ -582,22 +582,21 @@ def q_layout_repartition(spark, sf_dir):
     return sizes.agg(F.count("*").alias("n_partitions"), F.sum("n").alias("n_rows"), even.cast("int").alias("is_even"))
 
 
-def _cache_rows(spark: SparkSession, df: DataFrame, kept: DataFrame, by: str) -> DataFrame:
-    rows = [(r[by], r["n"]) for r in df.groupBy(by).agg(F.count("*").alias("n")).collect()]  # a row per value
+def _cache_rows(df: DataFrame, kept: DataFrame, by: str) -> DataFrame:
+    found = stored(df.groupBy(F.col(by).alias("name")).agg(F.count("*").alias("n")), "counted")  # while it is cached
     level = kept.storageLevel
-    found = spark.createDataFrame(rows, "name string, n long")
     return found.withColumns({"on_disk": F.lit(int(level.useDisk)), "in_memory": F.lit(int(level.useMemory))})
 
 
 def q_layout_cache(spark, sf_dir):
     with layout.cached(table(spark, sf_dir, "customer"), "disk_only") as kept:
-        return _cache_rows(spark, kept, kept, "c_mktsegment")
+        return _cache_rows(kept, kept, "c_mktsegment")
 
 
 def q_layout_unpersist(spark, sf_dir):
     kept = layout.cache(table(spark, sf_dir, "customer"))
     kept.count()
-    return _cache_rows(spark, kept, layout.uncache(kept), "c_mktsegment")
+    return _cache_rows(kept, layout.uncache(kept), "c_mktsegment")
 
 
 def q_partition_skew_profile(spark, sf_dir):
@@ -792,4 +791,4 @@ QUERIES: dict[str, Query] = {
     "sales_pipeline_rolling_revenue": _pipeline_output("rolling_revenue"),
     "sales_pipeline_stats": q_sales_pipeline_stats,
 }
-QUERIES |= timed.QUERIES
+QUERIES |= timed.QUERIES | streams.QUERIES

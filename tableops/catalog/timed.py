@@ -12,6 +12,9 @@ from tableops.operators.asof import asof_join
 from tableops.operators.frames import range_frame
 from tableops.operators.intervals import interval_join
 from tableops.operators.lattice import cube_sets, grouping_lattice, rollup_sets
+from tableops.plans.upkeep import Kept, refresh_states, summarise
+from tableops.scratch import scratch_path
+from tableops.sinks import write_parquet
 
 # --- as-of joins: each event with a purchase of the same user ----------------------------------------------------
 
@@ -110,6 +113,27 @@ FROM sales GROUP BY {grouping}""",
     )
 
 
+# --- summaries kept up by directory ------------------------------------------------------------------------------
+
+_KEPT = Kept(("order_year", "order_month"), ("region", "product"), ("revenue", "quantity"), ("quantity",), ("customer_id",))
+
+
+def q_summary_upkeep(spark, sf_dir):
+    """Sales by month; the months of one year are written anew with half their units, and only these are read again."""
+    rows = sales(spark, sf_dir).select("order_year", "order_month", "region", "product", "customer_id", "quantity", "revenue")
+    path, states = scratch_path(spark, "sales_by_month"), scratch_path(spark, "sales_states")
+    write_parquet(rows, path, _KEPT.directories)
+    first = refresh_states(spark, path, states, _KEPT)
+    halved = rows.where("order_year = 1997").withColumn("quantity", F.floor(F.col("quantity") / 2).cast("int"))
+    write_parquet(halved, path, _KEPT.directories)
+    second = refresh_states(spark, path, states, _KEPT)
+    found = summarise(spark, states, _KEPT, ["order_year", "region"], {"quantity": [0.5]})
+    near = (F.col("p50_quantity") >= F.col("min_quantity")) & (F.col("p50_quantity") <= F.col("max_quantity"))
+    money = [F.col(f"{m}_revenue").cast("double").alias(f"{m}_revenue") for m in ("sum", "max")]
+    left = F.lit(second.same + second.changed - first.changed).cast("int").alias("months_more")
+    return found.select("order_year", "region", "rows", *money, "sum_quantity", "max_quantity", near.cast("int").alias("median_within"), F.lit(second.changed).alias("months_again"), left)
+
+
 QUERIES = {
     "asof_join": _asof(),
     "asof_join_forward": _asof(direction="forward", exact=False, tolerance=timedelta(days=1), how="inner"),
@@ -121,6 +145,7 @@ QUERIES = {
     "group_cube": _lattice(cube_sets(_DIMENSIONS)),
     "group_rollup": _lattice(rollup_sets(_DIMENSIONS)),
     "group_sets": _lattice(_SETS),
+    "summary_upkeep": q_summary_upkeep,
 }
 
 # Statements over the tables, and those that need the sales records as "sales".
@@ -179,4 +204,13 @@ WINDOW w AS (PARTITION BY region ORDER BY order_date RANGE BETWEEN INTERVAL 7 DA
         ["region", "product", "order_month", "payment_method"],
         "GROUPING SETS ((region, product), (order_month), (payment_method, region), ())",
     ),
+    "summary_upkeep": (
+        "sales",
+        """
+SELECT order_year, region, count(*) AS rows, CAST(sum(revenue) AS DOUBLE) AS sum_revenue, CAST(max(revenue) AS DOUBLE) AS max_revenue,
+       CAST(sum(CASE WHEN order_year = 1997 THEN quantity // 2 ELSE quantity END) AS BIGINT) AS sum_quantity,
+       CAST(max(CASE WHEN order_year = 1997 THEN quantity // 2 ELSE quantity END) AS INTEGER) AS max_quantity, 1 AS median_within,
+       CAST((SELECT count(DISTINCT order_month) FROM sales WHERE order_year = 1997) AS INTEGER) AS months_again, 0 AS months_more
+FROM sales GROUP BY order_year, region""",
+    ),
 }

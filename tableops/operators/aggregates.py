@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableops.functions import metric
-from tableops.scratch import Tables
+from tableops.scratch import stored
 
 SKETCH_SIZE = 4096  # of the percentile sketches: a rank error of about 0.1 %
 _SKETCHES_PER_MERGE = 1000
@@ -66,30 +67,43 @@ def stats_summary(df: DataFrame, columns: Sequence[str], percentiles: Sequence[f
 def exact_percentiles(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]) -> DataFrame:
     """One row with exact discrete percentiles ``p{n}_{column}``: the smallest value whose rank reaches the share.
 
-    Values are counted first, so copies cost one row per task, and range-partitioned. One row per partition tells where
-    its ranks begin; a partition's ranks are running sums within it. Nulls do not count; a column without values gives
-    nulls. Runs two small jobs per column when called, and writes the counts to the shared folder.
+    One pass for all columns: their values are stacked, counted before the shuffle, so that copies cost one row per task, and
+    range-partitioned together. A row per column and partition tells where its ranks begin; within a partition ranks are
+    running sums, and only partitions that hold a wanted rank are summed up. Nulls do not count; a column without values
+    gives nulls. Runs one job when called, which writes the counts to the shared folder.
     """
-    rows, spark = [], df.sparkSession
-    for c in columns:
-        with Tables(spark) as tables:
-            counts = df.select(F.col(f"`{c}`").alias("value")).where("value IS NOT NULL").groupBy("value").count()
-            counts = tables.put(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "counts")
-            parts = counts.groupBy("part").agg(F.sum("count").alias("n"))
-            before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per partition
-            parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
-            upto = F.sum("count").over(Window.partitionBy("part").orderBy("value"))
-            ranked = counts.withColumn("upto", upto).join(F.broadcast(parts), "part").withColumn("rank", F.col("upto") + F.col("before"))
-            total = counts.agg(F.sum("count")).scalar()
-            picks = [
-                F.min(F.when(F.col("rank") >= F.ceil(F.col("total") * F.lit(p).cast("decimal(9,6)")), F.col("value"))) for p in percentiles
-            ]
-            found = ranked.withColumn("total", total).agg(*[x.alias(f"p{_percent(p)}_{c}") for x, p in zip(picks, percentiles)])
-            rows.append(tables.put(found, "found", keep=True))
-    joined = rows[0]
-    for row in rows[1:]:
-        joined = joined.join(row)  # one row each
-    return joined
+    values = [f"v{i}" for i in range(len(columns))]
+    types = [df.schema[c].dataType for c in columns]
+
+    def stacked(i: int) -> Column:
+        fields = [(F.col(f"`{columns[i]}`") if j == i else F.lit(None).cast(types[j])).alias(v) for j, v in enumerate(values)]
+        return F.struct(F.lit(i).alias("c"), *fields)
+
+    rows = df.select(F.explode(F.array(*[stacked(i) for i in range(len(columns))])).alias("s")).select("s.*")
+    counts = rows.where(_any_known(values))
+    counts = counts.groupBy("c", *values).count().repartitionByRange("c", *values).withColumn("part", F.spark_partition_id())
+    counts = stored(counts, "counts")
+
+    by_part = Window.partitionBy("c").orderBy("part")  # a row per column and partition
+    before = F.coalesce(F.sum("n").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("n").over(Window.partitionBy("c"))
+    parts = counts.groupBy("c", "part").agg(F.sum("count").alias("n")).select("c", "part", "n", before.alias("before"), total.alias("total"))
+    rank_of = [F.ceil(F.col("total") * F.lit(p).cast("decimal(9,6)")) for p in percentiles]
+    rank_of = [F.greatest(r, F.lit(1)) for r in rank_of]
+    wanted = reduce(lambda a, b: a | b, [(r > F.col("before")) & (r <= F.col("before") + F.col("n")) for r in rank_of], F.lit(False))
+    upto = F.sum("count").over(Window.partitionBy("c", "part").orderBy(*values))
+    ranked = counts.join(parts.where(wanted), ["c", "part"]).withColumn("rank", upto + F.col("before"))
+    picks = [
+        F.min(F.when((F.col("c") == i) & (F.col("rank") >= r), F.col(v))).alias(f"p{_percent(p)}_{c}")
+        for i, (c, v) in enumerate(zip(columns, values))
+        for p, r in zip(percentiles, rank_of)
+    ]
+    return ranked.agg(*picks)
+
+
+def _any_known(values: Sequence[str]) -> Column:
+    """Of a stacked row, which has one value at most: whether it has it."""
+    return F.coalesce(*[F.when(F.col(v).isNotNull(), True) for v in values], F.lit(False))
 
 
 def _percent(share: float) -> str:

@@ -124,8 +124,8 @@ def salted_join(
     """Join that cuts each frequent key of ``large`` into ``salt_buckets`` parts.
 
     Keys with more than ``hot_share`` of the rows are salted, at most ``1 / hot_share`` of them and so 10,000 at most, a
-    list that is small enough to broadcast. One aggregate over the keys of ``large`` finds them; ``hot_keys``, a short table of
-    the key columns, saves that pass where they are known (its size is the caller's to check). Only those rows of ``small`` are copied per bucket. The bucket comes
+    list that is small enough to broadcast. One aggregate over the keys of ``large`` finds them; ``hot_keys``, a table of
+    the key columns, saves that pass where they are known, and is broadcast only if it is estimated at MAX_BROADCAST_BYTES. Only those rows of ``small`` are copied per bucket. The bucket comes
     from the row's content and its input partition: a task that runs again gives every row the same bucket, and equal
     rows from different partitions still spread out.
     """
@@ -134,7 +134,10 @@ def salted_join(
         raise ValueError(f"salt_buckets must be at least 1 and hot_share in [{MIN_HOT_SHARE}, 1]")
     renamed, names = _distinct_names(large, small, keys)
     known = hot_keys.select(*keys, F.lit(True).alias("__hot")).distinct() if hot_keys is not None else None
-    hot = F.broadcast(_hot_keys(large, keys, hot_share) if known is None else known)
+    if known is None:
+        hot = F.broadcast(_hot_keys(large, keys, hot_share))
+    else:
+        hot = F.broadcast(known) if planned_bytes(known) <= MAX_BROADCAST_BYTES else known
 
     content = salt_by or large.columns
     bucket = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salt_buckets)).cast("int")

@@ -30,8 +30,10 @@ CASTS = {"quantity": "int", "unit_price": "double", "discount": "double"}
 FILLS = {"discount": 0.0, "region": "UNKNOWN"}
 TEXTS = ("region", "product", "payment_method")
 DIRECTORIES = ("order_year", "order_month", "region")
+MONTHS = DIRECTORIES[:2]
 PERCENTILES = (0.25, 0.5, 0.75, 0.95)
 FILTER = "quantity > 0 AND unit_price > 0"
+MAX_DIRECTORIES = 100_000  # whose names are broadcast
 MONTHLY = {"revenue": ["sum", "avg", "max"], "quantity": ["sum"], "order_id": ["count"]}
 
 
@@ -91,9 +93,10 @@ def run_sales_pipeline(
     stored = read_back(spark, target, expected_columns=columns, schema=transformed.schema)
     sales = of_run(stored, started)
 
-    regional = group_aggregate(sales, ["region", "order_year", "order_month"], MONTHLY)
-    # The same directories as the transformed table: a run replaces the months that it has written, and no others.
-    written["regional_summary"] = write_parquet(regional, f"{out_dir}/regional_summary", DIRECTORIES)
+    # A directory per month holds all its regions. The months of the run are summed up anew from all that is stored of them.
+    months = in_directories(stored, sales, MONTHS)
+    regional = group_aggregate(months, ["region", *MONTHS], MONTHLY)
+    written["regional_summary"] = write_parquet(regional, f"{out_dir}/regional_summary", MONTHS)
     with Tables(spark) as tables:
         outputs = {
             "windowed": window_columns(
@@ -119,7 +122,17 @@ def of_run(stored: DataFrame, started: datetime) -> DataFrame:
     ``ingestion_ts`` alone finds these, and the semi join prunes the wider scans to them.
     """
     own = stored.filter(F.col("ingestion_ts") == F.lit(started))
-    where = F.broadcast(own.select(*[F.col(c).alias(f"__{c}") for c in DIRECTORIES]).distinct())  # one row per directory
-    pruned = own.join(where, [F.col(c) == F.col(f"__{c}") for c in DIRECTORIES], "left_semi")
-    undated = " OR ".join(f"{c} IS NULL" for c in DIRECTORIES)  # a directory of their own, which no equality finds
-    return pruned.unionByName(own.filter(undated))
+    return in_directories(own, own, DIRECTORIES)
+
+
+def in_directories(rows: DataFrame, own: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Those of ``rows`` whose directory by ``columns`` holds one of ``own``; counts the directories.
+
+    The join prunes the scan of ``rows``. A null is a directory of its own, which no equality finds.
+    """
+    where = own.select(*[F.col(c).alias(f"__{c}") for c in columns]).distinct()
+    if where.count() <= MAX_DIRECTORIES:
+        where = F.broadcast(where)
+    pruned = rows.join(where, [F.col(c) == F.col(f"__{c}") for c in columns], "left_semi")
+    undated = rows.filter(" OR ".join(f"{c} IS NULL" for c in columns))
+    return pruned.unionByName(undated.join(where, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns], "left_semi"))

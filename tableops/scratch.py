@@ -82,6 +82,10 @@ class Tables:
         self._made[name] = keep
         return self.spark.table(f"{self.database}.{name}")
 
+    def drop_last(self, name: str) -> None:
+        """Drop the table that was put last under this name, which no later use reads."""
+        self.drop(next(made for made in reversed(self._made) if made.rpartition("_")[0] == name))
+
     def drop(self, *names: str) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")

@@ -33,9 +33,15 @@ def scan_csv(
     mode: str = "PERMISSIVE",
     delimiter: str = ",",
     keep_corrupt: bool = False,
+    quote: str = '"',
+    escape: str = "\\",
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV file, directory or glob; an empty field is null.
 
+    Fields with the delimiter in them are quoted; ``escape`` comes before a quote within one, ``escape='"'`` reads doubled
+    quotes. Quoted line breaks need ``multiline``, which reads each file in one task.
+
     Give a schema for large inputs: inference reads them once more, and one bad field turns its column into text.
     ``keep_corrupt`` adds ``_corrupt_record``, the text of rows that do not fit (``PERMISSIVE`` only).
     """
@@ -44,6 +50,9 @@ def scan_csv(
         "header": header,
         "mode": mode,
         "sep": delimiter,
+        "quote": quote,
+        "escape": escape,
+        "multiLine": multiline,
         "nullValue": "",
         "emptyValue": "",
         "timestampFormat": _CSV_TIMESTAMP,

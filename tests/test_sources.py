@@ -48,6 +48,16 @@ class TestCsv:
         row = scan_csv(spark, text_file("d,t\n2024-03-01,2024-03-01 10:20:30\n"), schema).first()
         assert (str(row["d"]), str(row["t"])) == ("2024-03-01", "2024-03-01 10:20:30")
 
+    def test_quotes_and_escapes(self, spark, text_file):
+        doubled = text_file('gauge,place,metres\n1,"a, ""b"" c",2\n', "doubled.csv")
+        assert scan_csv(spark, doubled, TIDES, escape='"').first()["place"] == 'a, "b" c'
+        slashed = text_file('gauge,place,metres\n1,"a, \\"b\\" c",2\n', "slashed.csv")
+        assert scan_csv(spark, slashed, TIDES).first()["place"] == 'a, "b" c'
+        single = text_file("gauge,place,metres\n1,'a, b',2\n", "single.csv")
+        assert scan_csv(spark, single, TIDES, quote="'").first()["place"] == "a, b"
+        lines = text_file('gauge,place,metres\n1,"a\nb",2\n', "lines.csv")
+        assert [tuple(r) for r in scan_csv(spark, lines, TIDES, multiline=True).collect()] == [(1, "a\nb", 2.0)]
+
     def test_directory_and_glob(self, spark, text_file, tmp_path):
         text_file("gauge,place,metres\n1,A,1\n", "a.csv")
         text_file("gauge,place,metres\n2,B,2\n", "b.csv")
