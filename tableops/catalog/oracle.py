@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tableops.catalog import streams, timed
+from tableops.catalog import keyed, streams, timed
 
 _RAW = """
 raw_sales AS (
@@ -459,4 +459,4 @@ FROM transformed""",
 }
 
 ORACLE_SQL |= {name: sql if isinstance(sql, str) else _with_sales(sql[1]) for name, sql in timed.ORACLE_SQL.items()}
-ORACLE_SQL |= streams.ORACLE_SQL
+ORACLE_SQL |= streams.ORACLE_SQL | keyed.ORACLE_SQL

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableops.catalog import streams, timed
+from tableops.catalog import keyed, streams, timed
 from tableops.catalog.tables import raw_sales, sales, table
 from tableops.operators import aggregates, dedup, joins, layout, ordering, quality, transforms, windows
 from tableops.plans import pipeline, reports
@@ -791,4 +791,4 @@ QUERIES: dict[str, Query] = {
     "sales_pipeline_rolling_revenue": _pipeline_output("rolling_revenue"),
     "sales_pipeline_stats": q_sales_pipeline_stats,
 }
-QUERIES |= timed.QUERIES | streams.QUERIES
+QUERIES |= timed.QUERIES | streams.QUERIES | keyed.QUERIES
