@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tableops.catalog.tables import table
 from tableops.operators.bloom import bloom_join
+from tableops.plans.drift import key_overlap, quantile_drift, store_profile
 from tableops.plans.upsert import KeyedTable, read_current, upsert
 from tableops.scratch import scratch_path
 
@@ -36,11 +37,44 @@ def q_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, kept)
 
 
+def _half_years(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """Profiles of the orders up to the middle of their time and of those after it, with the orders."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"))
+    first, last = orders.agg(F.min("day"), F.max("day")).first()
+    middle = first + (last - first) // 2
+    parts = {"before": orders.where(F.col("day") <= middle), "after": orders.where(F.col("day") > middle)}
+    path = scratch_path(spark, "profiles")
+    for name, rows in parts.items():
+        store_profile(rows, path, name, ["o_custkey"], ["o_totalprice"])
+    return path, parts
+
+
+def q_drift_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of both halves of the orders' time and of either; exact up to 2^14 customers."""
+    path, _ = _half_years(spark, sf_dir)
+    found = key_overlap(spark, path, "before", "after", ["o_custkey"])
+    return found.select("key", *[F.round(c).cast("long").alias(c) for c in found.columns[1:]])
+
+
+def q_drift_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the shift of the prices' quantiles between the halves is within 1 % of the rows of the exact one."""
+    path, parts = _half_years(spark, sf_dir)
+    found = quantile_drift(spark, path, "before", "after", ["o_totalprice"]).collect()  # one row per share
+    exact = [F.count_if(F.col("o_totalprice") <= r["value_after"]) / F.count("o_totalprice") for r in found]
+    near = [
+        F.struct(F.lit(r["share"]).alias("share"), (F.abs(x - F.lit(r["rank_before"])) <= 0.01).alias("near"))
+        for r, x in zip(found, exact)
+    ]
+    return parts["before"].agg(F.array(*near).alias("shares")).select(F.inline("shares"))
+
+
 QUERIES = {
     "join_bloom_semi": _bloom("semi"),
     "join_bloom_anti": _bloom("anti"),
     "join_bloom_inner": _bloom("inner"),
     "upsert_orders": q_upsert_orders,
+    "drift_keys": q_drift_keys,
+    "drift_prices": q_drift_prices,
 }
 
 _RETURNED = "SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.1"
@@ -57,4 +91,12 @@ SELECT * REPLACE (CASE o_orderstatus WHEN 'P' THEN 'F' ELSE o_orderstatus END AS
 UNION ALL
 SELECT * REPLACE (-1 - o_orderkey AS o_orderkey, 'copy' AS o_orderpriority) FROM o
 WHERE o_orderkey IN (SELECT min(o_orderkey) FROM orders GROUP BY o_custkey)""",
+    "drift_keys": """
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders),
+h AS (SELECT min(day) + CAST((max(day) - min(day)) // 2 AS INTEGER) AS middle FROM o),
+c AS (SELECT o_custkey, bool_or(day <= middle) AS old, bool_or(day > middle) AS new FROM o, h GROUP BY o_custkey)
+SELECT 'o_custkey' AS key, count(*) FILTER (old) AS before, count(*) FILTER (new) AS after, count(*) FILTER (old AND new) AS both,
+       count(*) FILTER (NOT new) AS gone, count(*) FILTER (NOT old) AS fresh
+FROM c WHERE o_custkey IS NOT NULL""",
+    "drift_prices": "SELECT CAST(share AS DOUBLE) AS share, true AS near FROM (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) v(share)",
 }
