@@ -1,4 +1,4 @@
-"""Queries that look up or replace rows by key, with their SQL."""
+"""Queries that look up or replace rows by key, compare snapshots, or read nested columns, with their SQL."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tableops.catalog.tables import table
 from tableops.operators.bloom import bloom_join
+from tableops.operators.nested import extract_paths, nest_rows, unnest_rows
 from tableops.plans.drift import key_overlap, quantile_drift, store_profile
 from tableops.plans.upsert import KeyedTable, read_current, upsert
 from tableops.scratch import scratch_path
@@ -68,6 +69,30 @@ def q_drift_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts["before"].agg(F.array(*near).alias("shares")).select(F.inline("shares"))
 
 
+def q_json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a number out of their properties; every seventh event's properties are cut short and so no JSON."""
+    cut = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    events = table(spark, sf_dir, "events").select("event_id", cut.alias("props"))
+    return extract_paths(events, "props", {"k": ("$.k", "int"), "other": ("$.other.x", "string")}, flag="bad")
+
+
+def _nested_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nest_rows(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", ["role", "text"], "turns")
+
+
+def q_nested_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of each conversation's array of turns."""
+    letters = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.length(t["text"]), F.lit(0)))
+    asked = F.size(F.filter("turns", lambda t: t["role"] == "user")).cast("long")
+    return _nested_turns(spark, sf_dir).select(
+        "conv_id", "part", F.size("turns").cast("long").alias("n_turns"), asked.alias("n_user"), letters.alias("n_chars")
+    )
+
+
+def q_nested_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unnest_rows(_nested_turns(spark, sf_dir), "turns").drop("part")
+
+
 QUERIES = {
     "join_bloom_semi": _bloom("semi"),
     "join_bloom_anti": _bloom("anti"),
@@ -75,6 +100,9 @@ QUERIES = {
     "upsert_orders": q_upsert_orders,
     "drift_keys": q_drift_keys,
     "drift_prices": q_drift_prices,
+    "json_paths": q_json_paths,
+    "nested_conversations": q_nested_conversations,
+    "nested_round_trip": q_nested_round_trip,
 }
 
 _RETURNED = "SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.1"
@@ -99,4 +127,15 @@ SELECT 'o_custkey' AS key, count(*) FILTER (old) AS before, count(*) FILTER (new
        count(*) FILTER (NOT new) AS gone, count(*) FILTER (NOT old) AS fresh
 FROM c WHERE o_custkey IS NOT NULL""",
     "drift_prices": "SELECT CAST(share AS DOUBLE) AS share, true AS near FROM (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) v(share)",
+    "json_paths": """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END AS props FROM events)
+SELECT *, CASE WHEN json_valid(props) THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CASE WHEN json_valid(props) THEN json_extract_string(props, '$.other.x') END AS other,
+       props IS NOT NULL AND NOT json_valid(props) AS bad
+FROM e""",
+    "nested_conversations": """
+SELECT conv_id, CAST(turn // 1000 AS BIGINT) AS part, count(*) AS n_turns, count(*) FILTER (role = 'user') AS n_user,
+       CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars
+FROM conversations GROUP BY ALL""",
+    "nested_round_trip": "SELECT * FROM conversations",
 }
