@@ -744,7 +744,7 @@ QUERIES: dict[str, Query] = {
     "win_lag": _window("lag_revenue"),
     "win_lead": _window("lead_revenue"),
     "win_running_total": _window("running_total"),
-    "win_all": _window(*WINDOW_COLUMNS, split=False),
+    "win_all": _window(*WINDOW_COLUMNS, split=None),
     "win_all_split": _window(*WINDOW_COLUMNS),
     "win_offsets_split": _window("lag_revenue", "lead_revenue", lag=3, lead=2),
     "win_rolling_avg": q_report_rolling_revenue,

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tableops.operators import windows
 from tableops.operators.windows import _chunk_carry, _Spec, window_columns
 from tableops.scratch import Tables
 
@@ -158,3 +159,24 @@ def test_plain_plan_has_one_shuffle(spark):
     plan = window_columns(df, "g", "o", "v", tie_break=["id"], split=False)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("+- Sort ") + plan.count("Sort [") >= 2
+
+
+def test_measured_groups(spark, monkeypatch):
+    """Groups beyond the limit of one task are split, smaller ones are not."""
+    df = spark.createDataFrame(random_rows(5, 200, 3), SCHEMA)
+    results = []
+    for limit in (20, 200):
+        monkeypatch.setattr(windows, "PLAIN_ROWS", limit)
+        found = window_columns(df, "g", "o", "v", tie_break=["id"], split=None)
+        assert ("__chunk" in found._jdf.queryExecution().toString()) == (limit == 20)
+        results.append(result(found))
+    assert results[0] == results[1]
+
+
+def test_split_plan_shuffles_no_stored_row(spark):
+    """Stored chunks are read without a shuffle of their rows: only sums and edges of chunks move."""
+    df = spark.range(3000).selectExpr("id", "id % 2 AS g", "id % 97 AS o", "CAST(id AS DECIMAL(12,2)) AS v").repartition(6)
+    plan = window_columns(df, "g", "o", "v", tie_break=["id"])._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert all("__chunk" not in line for line in moved)
+    assert "rangepartitioning" not in plan
