@@ -1,7 +1,8 @@
 """Sliding aggregates over frames of values: of the rows of a group whose order value is within a distance of the row's own.
 
 Spark's own RANGE window keeps a group in one task and adds up each frame anew. Here rows are first added up per group and
-order value. The order axis is cut into blocks as long as a frame, so a frame is the end of one block and the beginning of the
+order value. Groups of few order values then take Spark's window, which costs one shuffle of these sums and at most FEW_PLACES
+additions a row. Of larger groups, the order axis is cut into blocks as long as a frame, so a frame is the end of one block and the beginning of the
 next: running aggregates from the start of a block, and from its end, answer it with two values, and nothing is subtracted.
 Blocks are dealt into chunks of one order and the running values are carried across chunks, so no task holds a whole group or
 block. The two values are looked up by as-of joins, which split the same way.
@@ -21,6 +22,7 @@ from tableops.scratch import Tables, stored
 
 AGGREGATES = ("sum", "avg", "count", "min", "max")
 _STATES = ("n", "sum", "min", "max")
+FEW_PLACES = 1_000  # order values of a group that Spark's own window adds up
 
 
 def range_frame(
@@ -58,7 +60,7 @@ def range_frame(
 
     states = (tables.put if tables else stored)(_states(df, group, order_by, value), "frame_states")
     dated = states.where("at IS NOT NULL")
-    totals = _sliding(dated, low, high, tables) if low + high else dated.select("group", "at", *_STATES)
+    totals = _framed(dated, low, high, tables) if low + high else dated.select("group", "at", *_STATES)
     undated = states.where("at IS NULL").select("group", "at", *_STATES)
     totals = totals.unionByName(undated).select(
         F.col("group").alias("__group"), F.col("at").alias("__at"), F.struct(*_STATES).alias("__frame")
@@ -110,6 +112,25 @@ def _running(order: list[Column], by: list[str], until: int) -> Column:
     return F.struct(F.sum("n").over(window).alias("n"), F.sum("sum").over(window).alias("sum"), F.min("min").over(window).alias("min"), F.max("max").over(window).alias("max"))
 
 
+def _framed(states: DataFrame, low: object, high: object, tables: Tables | None) -> DataFrame:
+    """(group, at, n, sum, min, max) of the frames [at - low, at + high]; groups of many places are split. Runs a job."""
+    many = states.groupBy("group").count().where(F.col("count") > FEW_PLACES).select("group")
+    many = (tables.put if tables else stored)(many, "frame_large")
+    if many.isEmpty():
+        return _windowed(states, low, high)
+    same = states["group"].eqNullSafe(many["group"])
+    few, rest = (states.join(many, same, how) for how in ("left_anti", "left_semi"))
+    return _windowed(few, low, high).unionByName(_sliding(rest, low, high, tables))
+
+
+def _windowed(states: DataFrame, low: object, high: object) -> DataFrame:
+    """The frames by Spark's own window."""
+    kind = states.schema["at"].dataType.simpleString()
+    frame = f"(PARTITION BY group ORDER BY at RANGE BETWEEN CAST({low} AS {kind}) PRECEDING AND CAST({high} AS {kind}) FOLLOWING)"
+    merged = {"n": "sum(n)", "sum": "sum(sum)", "min": "min(min)", "max": "max(max)"}
+    return states.select("group", "at", *[F.expr(f"{how} OVER {frame}").alias(c) for c, how in merged.items()])
+
+
 def _sliding(states: DataFrame, low: object, high: object, tables: Tables | None) -> DataFrame:
     """(group, at, n, sum, min, max) of the frames [at - low, at + high]."""
     width, save = low + high, tables.put if tables else stored

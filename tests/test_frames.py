@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tableops.operators import frames
 from tableops.operators.frames import range_frame
 
 ALL = ["sum", "avg", "count", "min", "max"]
@@ -79,3 +80,20 @@ def test_bad_arguments(spark):
     with pytest.raises(ValueError):
         range_frame(df.withColumn("d", F.lit(date(2024, 1, 1))), "g", "d", "v", timedelta(hours=1))
     assert range_frame(df.limit(0), "g", "t", "v", 3).collect() == []
+
+
+@pytest.mark.parametrize("few", [0, 60, 10_000])
+def test_few_and_many_places(spark, monkeypatch, few):
+    """Groups on either side of the limit, and all on one side, have the same frames; null groups too."""
+    monkeypatch.setattr(frames, "FEW_PLACES", few)
+    df = data(spark)
+    found = range_frame(df, "g", "t", "v", 30, 7, ALL)
+    same(found, own_window(df, "t", "v", 30, 7))
+    assert ("__chunk" in str(found._jdf.queryExecution()) or "frame_running" in str(found._jdf.queryExecution())) == (few < 10_000)
+
+
+def test_small_groups_need_no_blocks(spark):
+    """Groups of few order values are added up by one window over their sums, without lookups."""
+    df = spark.range(500).selectExpr("id % 50 AS g", "CAST(id AS INT) AS t", "id AS v")
+    plan = range_frame(df, "g", "t", "v", 30)._jdf.queryExecution().executedPlan().toString()
+    assert "frame_running" not in plan and plan.count("Join") == 1
