@@ -109,6 +109,9 @@ def _whole_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*EVENTS_SCHEMA.names).withColumn("ts", F.date_trunc("second", "ts").cast("timestamp_ntz"))
 
 
+_EVENTS_A_FILE = 5_000
+
+
 def _events_json(spark: SparkSession, sf_dir: str, pretty: bool = False, broken: bool = False) -> str:
     """Events as JSON lines; or each spread over several lines, one array a file; or errors cut off in their middle."""
     path = scratch_path(spark, "events_json")
@@ -116,8 +119,8 @@ def _events_json(spark: SparkSession, sf_dir: str, pretty: bool = False, broken:
     record = F.to_json(F.struct(*EVENTS_SCHEMA.names), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss", "pretty": str(pretty).lower()})
     if broken:
         record = F.when(F.col("event_type") == "error", F.substring(record, 1, 30)).otherwise(record)
-    if pretty:  # a file per hundred events, as one task reads a whole file
-        files = events.groupBy(F.floor(F.col("event_id") / 100).alias("file")).agg(F.array_join(F.collect_list(record), ",\n").alias("all"))
+    if pretty:  # a file per few thousand events, about a megabyte: one task reads a whole file, and each file costs a listing
+        files = events.groupBy(F.floor(F.col("event_id") / _EVENTS_A_FILE).alias("file")).agg(F.array_join(F.collect_list(record), ",\n").alias("all"))
         arrays = files.select(F.concat(F.lit("["), "all", F.lit("]")).alias("value"))
         arrays.repartition(16).write.option("maxRecordsPerFile", 1).text(path)
     else:
