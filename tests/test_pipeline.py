@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tableops.catalog.queries import QUERIES
+from tableops.plans import pipeline
 from tableops.plans.pipeline import of_run, run_sales_pipeline, transform_sales
 from tableops.sources import scan_csv
 
@@ -126,3 +128,32 @@ def test_text_input_is_cast_before_the_filter(spark):
     schema = "order_id string, order_date string, region string, customer_id string, product string, quantity string, unit_price string"
     df = transform_sales(spark.createDataFrame(rows, schema))
     assert [r["order_id"] for r in df.collect()] == ["1"]
+
+
+def test_writes_only_the_outputs_asked_for(spark, source, tmp_path):
+    written = run_sales_pipeline(spark, source, str(tmp_path), outputs=["stats"])
+    assert written == {"transformed": 150, "stats": 1}
+    assert sorted(os.listdir(tmp_path)) == ["stats", "transformed"]
+    with pytest.raises(ValueError, match="Unknown outputs"):
+        run_sales_pipeline(spark, source, str(tmp_path), outputs=["stat"])
+
+
+def test_a_query_does_not_depend_on_another_ones_run(spark, monkeypatch):
+    """Each pays for its own run, whichever comes first."""
+    runs = []
+
+    def run_and_note(*args, **options):
+        runs.append(options["outputs"])
+        return run_sales_pipeline(*args, **options)
+
+    monkeypatch.setattr(pipeline, "run_sales_pipeline", run_and_note)
+    for name in ("sales_pipeline_stats", "sales_pipeline_high_value_customers"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert runs == [["stats"], ["high_value_customers"]]
+
+
+def test_rows_are_gathered_before_they_widen(source):
+    plan = transform_sales(source, gather=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("profit_margin") < plan.index("RebalancePartitions") < plan.index("Window")  # from the result down
+    by_revenue = transform_sales(source, dedup_order=["revenue"], gather=True)
+    assert by_revenue.count() == 150
