@@ -21,3 +21,13 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left():
+    """Views of one test file do not show up in the listings of another."""
+    yield
+    session = SparkSession.getActiveSession()
+    for found in session.catalog.listTables() if session else []:
+        if found.isTemporary:
+            session.catalog.dropTempView(found.name)
