@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from brute import components, corpus, shingles, table
 
+from tableops.llm import ngram_join
 from tableops.llm.ngram_join import choose_matches, jaccard_components, least_overlap
+from tableops.scratch import Tables
 
 
 def expected(rows, k, percent):
@@ -50,3 +52,44 @@ def test_longer_prefix_where_postings_are_long():
     assert least_overlap(7, 85) == 6
     assert choose_matches(rare, 200, 85) > choose_matches(np.ones(2), 2, 85)
     assert 1 <= choose_matches(common, 200, 85) <= 8
+
+
+def test_wide_bitmaps_drop_far_pairs_and_keep_near_ones(spark):
+    rng = np.random.default_rng(17)
+    sets, pairs = [], []
+    for n in (1, 5, 300, 511, 520, 2000, 20000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        for edits in (0, n // 20, n // 12, n // 2, n):  # 12: just linked; 2 and 1: far
+            other = np.concatenate([base[edits:], rng.integers(0, 2**63, edits + n // 50).astype(np.uint64)])
+            at = 2 * len(pairs)
+            sets += [(at, base), (at + 1, other)]
+            shared = len(np.intersect1d(base, other))
+            pairs.append((at, at + 1, 100 * shared >= 85 * (len(base) + len(other) - shared), n, edits))
+    rows = [(i, len(g), ngram_join._parities(g, ngram_join._wide_bits(len(g))).tolist()) for i, g in sets]
+    assert {len(x) == len(y) for (_, _, x), (_, _, y) in zip(rows[::2], rows[1::2])} == {True, False}
+    with Tables(spark) as tables:
+        given = spark.createDataFrame([p[:2] for p in pairs], "a long, b long")
+        near = ngram_join._near(given, spark.createDataFrame(rows, "doc_id long, n int, wide array<long>"), 85, tables)
+        kept = {r.a for r in near.collect()}
+    assert kept >= {a for a, _, linked, _, _ in pairs if linked}
+    assert not kept & {a for a, _, _, n, edits in pairs if 300 <= n <= 2000 and edits >= n // 2}
+
+
+def test_each_posting_is_shuffled_once_and_far_pairs_are_not_read(spark, monkeypatch):
+    put, plans, counts = Tables.put, {}, {}
+
+    def kept(self, df, name, **options):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        table = put(self, df, name, **options)
+        counts.setdefault(name, table.count())
+        return table
+
+    monkeypatch.setattr(Tables, "put", kept)
+    # Each two share their rare start only; four documents hold each of the longer ends.
+    ends = [" ".join(f"e{i}x{j}" for j in range(300)) for i in range(5)]
+    starts = itertools.combinations(range(5), 2)
+    texts = [" ".join(f"s{i}{j}x{n}" for n in range(80)) + " " + ends[x] for i, j in starts for x in (i, j)]
+    found = jaccard_components(table(spark, list(enumerate(texts))), 4, 85)
+    assert {r.component_id for r in found.collect()} == set(range(20))
+    assert plans["postings"].count("Exchange hashpartitioning(token") == 1
+    assert counts["stars"] > 0 and counts["whole"] == 0
